@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -244,11 +243,12 @@ def fuzzy_block_match(
         .agg(F.min(F.struct(F.col(right_order).alias("order"), F.col(right_name).alias("name"))).alias("__first"))
     )
     sets = tokens_left.select(*guarded, "__id", "__tokens").distinct()
-    pairs = token_set_pairs(sets, tokens_right.select(*guarded, "__id", "__tokens"), guarded, threshold)
-    scored = pairs.withColumn("__score", F.round(token_set_score(F.split("__l", " "), F.split("__r", " ")), 12))
+    # Scores are accepted after rounding to three digits, so pairs just below the threshold count too.
+    pairs = token_set_pairs(sets, tokens_right.select(*guarded, "__id", "__tokens"), guarded, threshold - 0.0005)
+    scored = pairs.withColumn("__score", token_set_score(F.split("__l", " "), F.split("__r", " ")))
     scored = attach(scored, tokens_right.drop("__tokens"), {**{c: c for c in guarded}, "__r": "__id"}, "inner")
     best = latest_per_key(
-        scored.where(F.col("__score") >= threshold), [*guarded, "__l"],
+        scored.where(F.round("__score", 3) >= threshold), [*guarded, "__l"],
         [F.col("__score").desc(), F.col("__first.order").asc(), F.col("__first.name").asc()],
     ).select(*guarded, "__l", F.col("__first.name").alias("__match"), F.round("__score", 3).alias("__score"))
     out = attach(tokens_left, best, {**{c: c for c in guarded}, "__id": "__l"}, "left")
@@ -265,7 +265,3 @@ def unmatched_codes(df: DataFrame, known: DataFrame, code: str, known_code: str)
     """Rows whose code is NULL or has no candidate at all; they can never match."""
     return keep_missing(df, known, {code: known_code})
 
-
-def min_threshold() -> float:
-    """The smallest threshold (exclusive) for which the pair filter is exact."""
-    return math.nextafter(2 / 3, 1)
