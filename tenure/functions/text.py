@@ -94,7 +94,8 @@ def may_have_fee(type_text: Column) -> Column:
 
 def href_title(href: Column) -> Column:
     """'/wiki/Jo%C3%A3o_F%C3%A9lix' -> 'João_Félix'. A plus sign stays a plus sign."""
-    return F.url_decode(F.replace(F.regexp_replace(href, HREF_PREFIX, ""), F.lit("+"), F.lit("%2B")))
+    title = F.regexp_replace(href, HREF_PREFIX, "")
+    return F.coalesce(F.try_url_decode(F.replace(title, F.lit("+"), F.lit("%2B"))), title)
 
 
 def mention_windows(text: Column, term: Column, before: int = WINDOW_BEFORE, after: int = WINDOW_AFTER) -> Column:

@@ -70,7 +70,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     schema = StructType([StructField(n, StringType()) for n in header] + [StructField(CORRUPT, StringType())])
     rows = (
         spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", False).option("escape", '"').csv(path)
+        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).option("escape", '"').csv(path)
     )
     missing = [c for c in columns if c not in header]
     if missing:

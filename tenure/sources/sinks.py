@@ -39,5 +39,6 @@ def extract_marts(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
     for name, by in EXTRACTS.items():
         paths[name] = f"{root}/{name}"
         df = marts[name]
-        replace(df.repartition(*by) if by else df, paths[name], by)
+        # Rebalancing keeps few files per season and still splits a season that is too big for a task.
+        replace(df.hint("rebalance", *by) if by else df, paths[name], by)
     return paths
