@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words that carry no identity, reserve-team markers, and spelling aliases.
 GENERIC_WORDS = [
@@ -23,7 +24,7 @@ WORD_ALIASES = {"manchester": "man", "monchengladbach": "gladbach"}
 TITLE_GENERIC_WORDS = ["fc", "cf", "afc", "sc", "the", "club", "ac", "as"]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def ascii_fold(names: pd.Series) -> pd.Series:
     """Accents off and other non-ASCII characters dropped ('Málaga' -> 'Malaga')."""
     return names.map(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -44,7 +45,7 @@ def token_set_ratio(left: list[str], right: list[str]) -> float:
     return max(scores)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_score(left: pd.Series, right: pd.Series) -> pd.Series:
     """`token_set_ratio` over two columns of token arrays."""
     return pd.Series([token_set_ratio(list(a), list(b)) for a, b in zip(left, right)], dtype="float64")

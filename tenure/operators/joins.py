@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,15 +24,12 @@ def attach(
     that a hot key of `left` only ever meets one row and AQE can split it over tasks.
     """
     pairs = dict(on) if isinstance(on, dict) else {c: c for c in on}
+    if not null_safe:
+        renames = {r: l for l, r in pairs.items() if l != r}
+        return left.join(right.withColumnsRenamed(renames) if renames else right, list(pairs), how)
     renamed = {source: f"__key{i}" for i, source in enumerate(pairs.values())}
-    extras = [c for c in right.columns if c not in renamed]
-    keyed = right.select(*[F.col(c).alias(a) for c, a in renamed.items()], *extras)
-
-    def same(l: str, r: str) -> Column:
-        return F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r)
-
-    condition = reduce(and_, [same(l, renamed[r]) for l, r in pairs.items()])
-    return left.join(keyed, condition, how).drop(*renamed.values())
+    condition = reduce(and_, [F.col(l).eqNullSafe(F.col(renamed[r])) for l, r in pairs.items()])
+    return left.join(right.withColumnsRenamed(renamed), condition, how).drop(*renamed.values())
 
 
 def keep_matching(left: DataFrame, right: DataFrame, on: dict[str, str] | Sequence[str], null_safe: bool = False) -> DataFrame:

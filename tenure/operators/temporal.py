@@ -102,6 +102,39 @@ def asof_points(
     )
 
 
+def first_and_last_until(
+    points: DataFrame,
+    series: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    ts: str,
+    values: Sequence[str],
+    tiebreak: Sequence[str],
+) -> DataFrame:
+    """Add to each point the first and the last series row of its key up to its date, as structs.
+
+    The structs `first` and `last` hold `ts`, the tie-break columns and the values; they are NULL
+    where nothing precedes. The points of one key must be bounded (here: one move per day and
+    direction), as they pass through the window themselves. Rows of one day are reduced first.
+    """
+    keys = list(keys)
+    row = F.struct(F.col(ts), *[F.col(c) for c in (*tiebreak, *values)])
+    daily = (
+        series.where(_all_set([*keys, ts]))
+        .groupBy(*keys, F.col(ts).alias("__at"))
+        .agg(F.min(row).alias("__lo"), F.max(row).alias("__hi"))
+        .withColumn("__side", F.lit(0))
+    )
+    asked = points.where(_all_set([*keys, at])).withColumns({"__at": F.col(at), "__side": F.lit(1)})
+    w = Window.partitionBy(*keys).orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        daily.unionByName(asked, allowMissingColumns=True)
+        .withColumns({"first": F.first("__lo", ignorenulls=True).over(w), "last": F.last("__hi", ignorenulls=True).over(w)})
+        .where(F.col("__side") == 1)
+        .drop("__at", "__side", "__lo", "__hi")
+    )
+
+
 def asof_latest(
     left: DataFrame,
     right: DataFrame,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenure.functions.text import leading_int
@@ -11,8 +11,8 @@ from tenure.operators.matching import entity_resolve
 from tenure.operators.ranking import last_period_rows
 from tenure.operators.temporal import (
     asof_latest,
-    asof_points,
     count_between,
+    first_and_last_until,
     interval_agg,
     nearest_period,
     spells,
@@ -119,46 +119,38 @@ def value_trajectory(moves: DataFrame, players: DataFrame, valuations: DataFrame
     holds the arrival and one the departure value and the others have NULL; `full_grain` ranks per
     move instead. Moves without a valuation up to their date are left out.
 
-    The first valuation of a (player, club) pair is one aggregate, the last one an as-of lookup.
+    One window per (player, club) finds both; its rows are days, so it stays small.
     """
     resolved = entity_resolve(
-        moves.select(*MOVE_KEY, "club_name"), players, valuations, "player_name", "club_name",
-        "player_name", "player_id", "player_id", "current_club_name",
+        moves.select(*MOVE_KEY, "club_name").where("transfer_date is not null"), players, valuations,
+        "player_name", "club_name", "player_name", "player_id", "player_id", "current_club_name",
     )
     one = resolved.groupBy(*MOVE_KEY).agg(F.min(F.struct("player_id", "club_name")).alias("__c")).select(
         *MOVE_KEY, "__c.player_id", "__c.club_name"
     )
     at_club = valuations.select(
-        "player_id", F.col("current_club_name").alias("club_name"), "valuation_date", "player_valuation_id", "market_value_in_eur"
+        "player_id", F.col("current_club_name").alias("club_name"), "valuation_date", "player_valuation_id",
+        F.col("market_value_in_eur").alias("value"),
     )
-    row = F.struct("valuation_date", "player_valuation_id", F.col("market_value_in_eur").alias("value"))
-    daily = at_club.where("valuation_date is not null").groupBy("player_id", "club_name", "valuation_date").agg(
-        F.min(row).alias("__lo"), F.max(row).alias("__hi")
-    )
-    earliest = daily.groupBy("player_id", "club_name").agg(F.min("__lo").alias("__first"))
-    asked = one.where("transfer_date is not null").select("player_id", "club_name", "transfer_date").distinct()
-    latest = asof_points(asked, daily.drop("__lo"), ["player_id", "club_name"], "transfer_date", "valuation_date", ["__hi"])
-    latest = latest.where("valuation_date is not null").drop("valuation_date").withColumnRenamed("__hi", "__last")
-    out = attach(one, latest, ["player_id", "club_name", "transfer_date"], "inner")
-    out = attach(out, earliest, ["player_id", "club_name"], "inner")
+    out = first_and_last_until(
+        one, at_club, ["player_id", "club_name"], "transfer_date", "valuation_date", ["value"], ["player_valuation_id"]
+    ).where("first is not null")
     if not full_grain:
-        # Among the moves of a pair the first (in key order) holds the arrival, and among those
-        # with the newest last valuation the first holds the departure.
-        key = F.struct("transfer_date", "direction", "player_name")
-        pair = ["club_id", "player_id"]
-        ends = out.groupBy(*pair).agg(
-            F.min(F.struct("__first", key.alias("__move"))).alias("__in"),
-            F.max("__last").alias("__top"),
-        )
-        out = attach(out, ends, pair, "left")
-        holders = out.where(F.col("__last") == F.col("__top")).groupBy(*pair).agg(F.min(key).alias("__out"))
-        out = attach(out, holders, pair, "left")
-        out = out.withColumn("__first", F.when(key == F.col("__in.__move"), F.col("__first")))
-        out = out.withColumn("__last", F.when(key == F.col("__out"), F.col("__last")))
+        # Of the moves of a pair the first (in key order) holds the arrival, and of those with the
+        # newest last valuation the first holds the departure.
+        key = ["transfer_date", "direction", "player_name"]
+        pair = Window.partitionBy("club_id", "player_id")
+        out = out.withColumns({
+            "__in": F.row_number().over(pair.orderBy("first", *key)),
+            "__out": F.row_number().over(pair.orderBy(F.col("last").desc(), *key)),
+        })
+        out = out.withColumns({
+            "first": F.when(F.col("__in") == 1, F.col("first")), "last": F.when(F.col("__out") == 1, F.col("last")),
+        })
     return out.select(
         *MOVE_KEY, "player_id",
-        F.col("__first.value").alias("value_at_arrival"), F.col("__first.valuation_date").alias("value_at_arrival_date"),
-        F.col("__last.value").alias("value_at_departure"), F.col("__last.valuation_date").alias("value_at_departure_date"),
+        F.col("first.value").alias("value_at_arrival"), F.col("first.valuation_date").alias("value_at_arrival_date"),
+        F.col("last.value").alias("value_at_departure"), F.col("last.valuation_date").alias("value_at_departure_date"),
     )
 
 

@@ -143,10 +143,15 @@ def recent_move_indicators(moves: DataFrame, trajectory: DataFrame, players: Dat
     })
 
 
-def fct_recent_moves(tables: dict[str, DataFrame], full_grain: bool = False) -> DataFrame:
-    """One row per staged page move, priced against the player's own value history at that club."""
+def fct_recent_moves(tables: dict[str, DataFrame], full_grain: bool = False, written_trajectory: bool = True) -> DataFrame:
+    """One row per staged page move, priced against the player's own value history at that club.
+
+    The trajectory feeds two branches and is narrow, so by default it is written once.
+    """
     players = tables["players"]
     moves = tables["recent_moves"]
     trajectory = im.value_trajectory(moves, players, tables["player_valuations"], full_grain)
+    if written_trajectory:
+        trajectory = cut_lineage(trajectory)
     champions = im.season_champions(tables["scope"], tables["games"], tables["club_games"])
     return recent_move_indicators(moves, trajectory, players, im.titles_during_tenure(trajectory, champions))
