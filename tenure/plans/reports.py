@@ -19,7 +19,7 @@ from tenure.operators.stats import exact_median
 MIN_FEE = 1_000_000
 
 
-def _in_scope(fct: DataFrame, dim_club: DataFrame, season: str, club: str) -> DataFrame:
+def in_scope(fct: DataFrame, dim_club: DataFrame, season: str, club: str) -> DataFrame:
     """Season and acquiring-club filter; an unknown club counts as an empty name."""
     out = fct.where(like(F.col("transfer_season"), season))
     if club == "%":
@@ -61,7 +61,7 @@ def kpi_summary(fct: DataFrame, dim_club: DataFrame, season: str = "%", club: st
     A valuation equal to the one at the transfer was never refreshed; such rows force the ratio to
     -100 % and stay out of the mean.
     """
-    rows = _in_scope(fct.where(F.col("roi_financier").isNotNull()), dim_club, season, club)
+    rows = in_scope(fct.where(F.col("roi_financier").isNotNull()), dim_club, season, club)
     stale = F.col("market_value_at_spell_end") == F.col("market_value_at_transfer")
     figures = rows.agg(
         F.count(F.lit(1)).alias("transfers_analyzed"),
@@ -77,7 +77,7 @@ def kpi_summary(fct: DataFrame, dim_club: DataFrame, season: str = "%", club: st
 
 def hero_players(fct: DataFrame, dim_player: DataFrame, dim_club: DataFrame, season: str = "%", club: str = "%", k: int = 6) -> DataFrame:
     """The k best ratios among transfers with a real fee."""
-    rows = _in_scope(fct.where(F.col("roi_financier").isNotNull() & (F.col("transfer_fee") >= MIN_FEE)), dim_club, season, club)
+    rows = in_scope(fct.where(F.col("roi_financier").isNotNull() & (F.col("transfer_fee") >= MIN_FEE)), dim_club, season, club)
     order = [F.col("roi_financier").desc(), F.col("transfer_id").asc()]
     best = topk(_known_players(rows, dim_player).select("transfer_id", "player_id", "to_club_id", "roi_financier"), order, k)
     return _with_club(_with_player(best, dim_player), dim_club, "to_club").orderBy(*order).select(
@@ -87,7 +87,7 @@ def hero_players(fct: DataFrame, dim_player: DataFrame, dim_club: DataFrame, sea
 
 def _transfer_spectrum(fct: DataFrame, dim_player: DataFrame, dim_club: DataFrame, by: str, labels: tuple[str, str], label: str,
                        season: str, club: str, k: int, keep: Sequence[str]) -> DataFrame:
-    rows = _in_scope(fct.where(F.col(by).isNotNull() & (F.col("transfer_fee") >= MIN_FEE)), dim_club, season, club)
+    rows = in_scope(fct.where(F.col(by).isNotNull() & (F.col("transfer_fee") >= MIN_FEE)), dim_club, season, club)
     ends = spectrum(
         _known_players(rows, dim_player).select("transfer_id", "player_id", "from_club_id", "to_club_id", *keep),
         by, k, ["transfer_id"], labels, label,
@@ -124,7 +124,7 @@ def _ranked_transfers(rows: DataFrame, dim_player: DataFrame, dim_club: DataFram
 
 def cost_efficiency(fct: DataFrame, dim_player: DataFrame, dim_club: DataFrame, season: str = "%", club: str = "%", k: int = 12) -> DataFrame:
     """The k lowest costs per goal or assist among transfers with a real fee."""
-    rows = _in_scope(fct.where(F.col("cost_per_goal_contribution").isNotNull() & (F.col("transfer_fee") >= MIN_FEE)), dim_club, season, club)
+    rows = in_scope(fct.where(F.col("cost_per_goal_contribution").isNotNull() & (F.col("transfer_fee") >= MIN_FEE)), dim_club, season, club)
     order = [F.col("cost_per_goal_contribution").asc(), F.col("transfer_id").asc()]
     return _ranked_transfers(rows, dim_player, dim_club, order, k, [
         "transfer_date", "transfer_fee", "goals_during_spell", "assists_during_spell", "cost_per_goal_contribution"])
@@ -132,7 +132,7 @@ def cost_efficiency(fct: DataFrame, dim_player: DataFrame, dim_club: DataFrame,
 
 def best_free_transfers(fct: DataFrame, dim_player: DataFrame, dim_club: DataFrame, season: str = "%", club: str = "%", k: int = 12) -> DataFrame:
     """The k biggest value gains among transfers recorded at fee 0."""
-    rows = _in_scope(fct.where((F.col("transfer_fee") == 0) & F.col("value_gained_absolute").isNotNull()), dim_club, season, club)
+    rows = in_scope(fct.where((F.col("transfer_fee") == 0) & F.col("value_gained_absolute").isNotNull()), dim_club, season, club)
     order = [F.col("value_gained_absolute").desc(), F.col("transfer_id").asc()]
     return _ranked_transfers(rows, dim_player, dim_club, order, k, [
         "transfer_date", "market_value_at_transfer", "market_value_at_spell_end", "market_value_at_spell_end_date",
