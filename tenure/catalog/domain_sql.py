@@ -28,7 +28,7 @@ TABLES: dict[str, str] = {
             l_extendedprice AS market_value_in_eur, 'Club ' || (l_suppkey % 5) AS current_club_name
         FROM lines""",
     "games": f"""
-        SELECT o_orderkey AS game_id, o_orderpriority AS competition_id, year(o_orderdate) AS season,
+        SELECT o_orderkey AS game_id, o_orderpriority AS competition_id, cast(year(o_orderdate) AS int) AS season,
             CASE WHEN o_orderstatus = 'F' THEN 'Final' ELSE month(o_orderdate) || '. Matchday' END AS round,
             {_DAY} AS game_date
         FROM orders""",

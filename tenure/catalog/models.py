@@ -190,7 +190,7 @@ def fct_recent_moves(t):
 
 
 @query(sql(["ratings", "mapping"], """
-    SELECT r_regionkey AS club_id, r_name AS club_code, 'Club ' || r_regionkey AS club_name, 'C' || r_regionkey AS domestic_competition_id,
+    SELECT cast(r_regionkey AS bigint) AS club_id, r_name AS club_code, 'Club ' || r_regionkey AS club_name, 'C' || r_regionkey AS domestic_competition_id,
         'Coach ' || r_regionkey AS coach_name, cast(20 + r_regionkey AS int) AS squad_size, r_regionkey * 1.5::double AS average_age,
         r_regionkey AS foreigners_number, r_regionkey / 10.0::double AS foreigners_percentage, r_regionkey AS national_team_players,
         'Stadium ' || r_regionkey AS stadium_name, r_regionkey * 1000 AS stadium_seats, '+' || r_regionkey AS net_transfer_record,
