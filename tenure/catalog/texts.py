@@ -239,6 +239,7 @@ def page_moves(t):
 @query()
 def fuzzy_block_match(t):
     """Scores need the edit distance, which the SQL side lacks; checked by brute force in the tests."""
-    left = t["part"].select("p_partkey", "p_brand", F.concat_ws(" ", "p_name", "p_type").alias("name"))
-    right = t["part"].select("p_partkey", "p_brand", F.concat(F.col("p_name"), F.lit("s "), F.left("p_type", F.lit(4))).alias("candidate"))
-    return matching.fuzzy_block_match(left, right, ["p_brand"], "p_partkey", "name", "candidate", "p_partkey")
+    block = ["p_brand", "p_size"]
+    left = t["part"].select("p_partkey", *block, F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    right = t["part"].select("p_partkey", *block, F.concat(F.col("p_name"), F.lit("s "), F.left("p_type", F.lit(4))).alias("candidate"))
+    return matching.fuzzy_block_match(left, right, block, "p_partkey", "name", "candidate", "p_partkey")

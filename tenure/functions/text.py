@@ -27,6 +27,8 @@ HREF_PREFIX = "^/wiki/"
 
 # Case-insensitive, with Unicode classes: a non-breaking space counts as a space.
 _FLAGS = "(?iU)"
+# A code point that is no character and so does not occur in text.
+_FILLER = "\uffff"
 
 
 def strip_markers(text: Column) -> Column:
@@ -101,16 +103,17 @@ def href_title(href: Column) -> Column:
 def mention_windows(text: Column, term: Column, before: int = WINDOW_BEFORE, after: int = WINDOW_AFTER) -> Column:
     """The text around every mention of `term`, in order; overlapping mentions count.
 
-    One pass over the whole text: each zero-width match captures up to `before` characters ahead of
-    the mention and `after` characters from its start. An empty or NULL term has no mention.
+    Each zero-width match captures the `before` characters ahead of the mention and up to `after`
+    characters from its start. A filler in front of the text lets the part ahead have one fixed
+    length, which the regex engine finds without trying all shorter ones; it is cut off again.
+    An empty or NULL term has no mention.
     """
     quoted = F.concat(F.lit(r"\Q"), F.replace(term, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    pattern = F.concat(
-        F.lit("(?s)(?="), quoted, F.lit(f")(?<=(^.{{0,{before - 1}}}|.{{{before}}}))(?=(.{{0,{after}}}))"),
-    )
-    heads = F.regexp_extract_all(text, pattern, F.lit(1))
-    tails = F.regexp_extract_all(text, pattern, F.lit(2))
-    found = F.zip_with(heads, tails, lambda h, t: F.concat(h, t))
+    pattern = F.concat(F.lit("(?s)(?="), quoted, F.lit(f")(?<=(.{{{before}}}))(?=(.{{0,{after}}}))"))
+    padded = F.concat(F.lit(_FILLER * before), text)
+    heads = F.regexp_extract_all(padded, pattern, F.lit(1))
+    tails = F.regexp_extract_all(padded, pattern, F.lit(2))
+    found = F.zip_with(heads, tails, lambda h, t: F.concat(F.ltrim(h, F.lit(_FILLER)), t))
     return F.when(F.length(term) > 0, found)
 
 
@@ -125,11 +128,12 @@ def mention_amount(
 
     A range keeps its lower bound. NULL means "not found in the text".
     """
-    hits = F.transform(
+    # The fold stops looking once a mention has given an amount.
+    return F.aggregate(
         mention_windows(text, term, before, after),
-        lambda w: F.coalesce(*[first_amount(w, p) for p in patterns]),
+        F.lit(None).cast("string"),
+        lambda found, w: F.coalesce(found, *[first_amount(w, p) for p in patterns]),
     )
-    return F.try_element_at(F.filter(hits, lambda h: h.isNotNull()), F.lit(1))
 
 
 def first_of(conditions: list[tuple[Column, Column]], default: Column) -> Column:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.functions.names import has_reserve_marker, name_tokens, title_accepts
 from tenure.functions.similarity import token_set_score
 from tenure.operators.joins import attach, keep_missing
 from tenure.operators.ranking import latest_per_key
+from tenure.session import cut_lineage
 
 # Country name to rating-country code, and checked name overrides.
 COUNTRY_CODES = {
@@ -173,29 +174,26 @@ def token_set_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], thr
     all_a, all_b = tokens_of(a).drop("__n"), tokens_of(b).drop("__n")
     covered = pairs_on(leading_tokens(a), all_b, ["__f"]).unionByName(pairs_on(all_a, leading_tokens(b), ["__f"]))
 
-    # Edits: leading character pairs of both sides, numbered so that repeats count.
-    def grams_of(side: DataFrame) -> DataFrame:
-        seen = Window.partitionBy(*block, "__id", "__g").orderBy("__pos")
-        return (
-            side.select(*block, "__id", "__n", F.posexplode("__grams").alias("__pos", "__g"))
-            .withColumn("__rep", F.row_number().over(seen))
-            .select(*block, "__id", "__n", F.struct("__g", "__rep").alias("__f"))
-        )
-
-    gram_a, gram_b = grams_of(a), grams_of(b)
-    gram_freq = _rarity(gram_a.unionByName(gram_b), "__f", block)
+    # Edits: leading character pairs of both sides, numbered so that repeats count. Tokens are
+    # made of a-z and 0-9, so there are at most 37 * 37 pairs and their counts fit in one small map.
+    counted = a.select("__grams").unionByName(b.select("__grams")).select(F.explode("__grams").alias("__g")).groupBy("__g").agg(
+        F.count(F.lit(1)).alias("__freq")
+    )
+    rarity = counted.agg(F.map_from_entries(F.collect_list(F.struct("__g", "__freq")))).scalar()
 
     def leading_grams(side: DataFrame) -> DataFrame:
-        ranked = attach(side, gram_freq, [*block, "__f"], "inner").groupBy(*block, "__id", "__n").agg(
-            F.sort_array(F.collect_list(F.struct("__freq", "__f"))).alias("__list")
-        )
+        numbered = F.transform("__grams", lambda g, i: F.concat(
+            g, F.size(F.filter(F.slice("__grams", F.lit(1), i + 1), lambda other: other == g)).cast("string")
+        ))
+        ranked = F.array_sort(F.transform(numbered, lambda f: F.struct(
+            F.element_at(F.col("__rarity"), F.substring(f, 1, 2)).alias("freq"), f.alias("f")
+        )))
         need = F.greatest(F.ceil(1 + F.col("__n") * (1 + share) * grams_per_char - 1e-9), F.lit(1)).cast("int")
-        return ranked.select(
-            *block, "__id", "__n", F.explode(F.slice("__list", F.lit(1), F.greatest(F.size("__list") - need + 1, F.lit(0)))).alias("__s")
-        ).select(*block, "__id", "__n", F.col("__s.__f").alias("__f"))
+        kept = F.slice(ranked, F.lit(1), F.greatest(F.size("__grams") - need + 1, F.lit(0)))
+        return side.withColumn("__rarity", rarity).select(*block, "__id", "__n", F.explode(kept["f"]).alias("__f"))
 
-    l = leading_grams(gram_a).withColumnsRenamed({"__n": "__ln"})
-    r = leading_grams(gram_b).withColumnsRenamed({"__n": "__rn"})
+    l = leading_grams(a).withColumnRenamed("__n", "__ln")
+    r = leading_grams(b).withColumnRenamed("__n", "__rn")
     close = (F.least("__ln", "__rn") >= F.greatest("__ln", "__rn") * share - 1e-9)
     edited = pairs_on(l, r, ["__f"]).where(close)
     columns = [*block, "__l", "__r"]
@@ -242,7 +240,9 @@ def fuzzy_block_match(
         .groupBy(*guarded, "__id", "__tokens")
         .agg(F.min(F.struct(F.col(right_order).alias("order"), F.col(right_name).alias("name"))).alias("__first"))
     )
-    sets = tokens_left.select(*guarded, "__id", "__tokens").distinct()
+    # The distinct sets feed many branches of the pair search, so each side is written once.
+    tokens_right = cut_lineage(tokens_right)
+    sets = cut_lineage(tokens_left.select(*guarded, "__id", "__tokens").distinct())
     # Scores are accepted after rounding to three digits, so pairs just below the threshold count too.
     pairs = token_set_pairs(sets, tokens_right.select(*guarded, "__id", "__tokens"), guarded, threshold - 0.0005)
     scored = pairs.withColumn("__score", token_set_score(F.split("__l", " "), F.split("__r", " ")))
