@@ -183,9 +183,10 @@ def interval_agg(
     """Aggregate, per span, the facts of the same keys dated in [start, end); NULL end is open.
 
     The spans of one key must not overlap, as is the case for the output of `spells`. Facts are
-    first summed per (keys, day, distinct columns); those cells then meet the spans in one window
-    per key, so the pairs of the range join are never formed. Every span id appears once; a span
-    without facts has zeros. `counts`, `sums` and `distinct` map output names to fact columns.
+    first summed per (keys, day, distinct columns), and the span of each (keys, day) is found in one
+    window over days, so the pairs of the range join are never formed and a hot key brings at most
+    one row per day to the window. Every span id appears once; a span without facts has zeros.
+    `counts`, `sums` and `distinct` map output names to fact columns.
     """
     _need_date(spans, start, end)
     _need_date(facts, date)
@@ -200,7 +201,7 @@ def interval_agg(
             *[F.sum(c).alias(f"__s_{o}") for o, c in sums.items()],
         )
     )
-    partials = [c for c in cells.columns if c not in (*keys, "__at")]
+    days = cells.select(*keys, "__at").distinct() if distinct_columns else cells
     # Empty spans [d, d) can hold no fact and would hide the real span of that day.
     live = spans.where(_all_set([*keys, start]) & (F.col(end).isNull() | (F.col(end) > F.col(start)))).select(
         *keys,
@@ -208,15 +209,17 @@ def interval_agg(
         F.lit(0).alias("__side"),
         F.struct(F.col(span_id).alias("id"), F.col(end).alias("end")).alias("__span"),
     )
-    stacked = live.unionByName(cells.withColumn("__side", F.lit(1)), allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = (
-        stacked.withColumn("__span", F.last("__span", ignorenulls=True).over(w))
-        .where(F.col("__side") == 1)
+        live.unionByName(days.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+        .withColumn("__span", F.last("__span", ignorenulls=True).over(w))
+        .where((F.col("__side") == 1) & F.col("__span").isNotNull())
         .where(F.col("__span.end").isNull() | (F.col("__span.end") > F.col("__at")))
-        .select(F.col("__span.id").alias(span_id), *partials)
-        .where(F.col(span_id).isNotNull())
+        .withColumn(span_id, F.col("__span.id"))
+        .drop("__side", "__span")
     )
+    if distinct_columns:
+        inside = cells.join(inside, [*keys, "__at"], "inner")
     result = inside.groupBy(span_id).agg(
         *[F.sum(f"__n_{o}").alias(o) for o in counts],
         *[F.count_distinct(f"__d_{c}").alias(o) for o, c in distinct.items()],

@@ -155,3 +155,19 @@ def fct_recent_moves(tables: dict[str, DataFrame], full_grain: bool = False, wri
         trajectory = cut_lineage(trajectory)
     champions = im.season_champions(tables["scope"], tables["games"], tables["club_games"])
     return recent_move_indicators(moves, trajectory, players, im.titles_during_tenure(trajectory, champions))
+
+
+def all_marts(tables: dict[str, DataFrame], as_of: dt.date | Column) -> dict[str, DataFrame]:
+    """Every mart over the staged tables (those of `fct_transfer` and `fct_recent_moves`, clubs, teams, matches).
+
+    The player dimension is built first, as the recent moves are resolved against it.
+    """
+    player = dim_player(tables["players"])
+    return {
+        "dim_player": player,
+        "dim_club": dim_club(tables["clubs"], tables["mapping"], tables["ratings"]),
+        "dim_team": dim_team(tables["teams"]),
+        "fct_match": fct_match(tables["matches"]),
+        "fct_transfer": fct_transfer(tables, as_of),
+        "fct_recent_moves": fct_recent_moves({**tables, "players": player}),
+    }
