@@ -169,7 +169,8 @@ def _entity_resolve(t):
     FROM transfers t JOIN spells USING (transfer_id) LEFT JOIN performance USING (transfer_id)
         LEFT JOIN value_at_end USING (transfer_id) LEFT JOIN elo USING (transfer_id) LEFT JOIN titles USING (transfer_id)"""))
 def fct_transfer(t):
-    return marts.fct_transfer(ad.domain(t), ad.AS_OF)
+    needed = ["transfers", "appearances", "games", "club_games", "player_valuations", "scope", "mapping", "ratings"]
+    return marts.fct_transfer(ad.domain(t, *needed), ad.AS_OF)
 
 
 @query(sql(["recent_moves", "trajectory", "tenure_titles", "players"], """
@@ -186,7 +187,8 @@ def fct_transfer(t):
         LEFT JOIN tenure_titles l ON m.club_id = l.club_id AND m.player_name = l.player_name AND m.direction = l.direction
             AND m.transfer_date = l.transfer_date"""))
 def fct_recent_moves(t):
-    return marts.fct_recent_moves(ad.domain(t)).withColumn("fee_amount", F.col("fee_amount").cast("double"))
+    needed = ["games", "club_games", "player_valuations", "scope", "players", "recent_moves"]
+    return marts.fct_recent_moves(ad.domain(t, *needed)).withColumn("fee_amount", F.col("fee_amount").cast("double"))
 
 
 @query(sql(["ratings", "mapping"], """

@@ -168,13 +168,16 @@ def recent_moves(t: Tables) -> DataFrame:
     return stage_recent_moves(raw_recent_moves(t))
 
 
-def domain(t: Tables) -> dict[str, DataFrame]:
-    """All staged tables the fact marts need."""
-    return {
-        "transfers": transfers(t), "appearances": appearances(t), "games": games(t), "club_games": club_games(t),
-        "player_valuations": player_valuations(t), "scope": scope(t), "mapping": mapping(t), "ratings": ratings(t),
-        "players": players(t), "recent_moves": recent_moves(t),
-    }
+_STAGED = {
+    "transfers": transfers, "appearances": appearances, "games": games, "club_games": club_games,
+    "player_valuations": player_valuations, "scope": scope, "mapping": mapping, "ratings": ratings,
+    "players": players, "recent_moves": recent_moves,
+}
+
+
+def domain(t: Tables, *names: str) -> dict[str, DataFrame]:
+    """The named staged tables, or all that the fact marts need."""
+    return {name: _STAGED[name](t) for name in names or _STAGED}
 
 
 def transfer_mart(t: Tables) -> DataFrame:
