@@ -4,6 +4,7 @@ import os
 from decimal import Decimal
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -27,9 +28,9 @@ def plain(x):
         return str(x)
     if pd.isna(x):
         return None
-    if isinstance(x, bool):
+    if isinstance(x, (bool, np.bool_)):
         return str(x)
-    if isinstance(x, (int, float, Decimal)) or getattr(getattr(x, "dtype", None), "kind", "") in "if":
+    if isinstance(x, (int, float, Decimal, np.number)):
         return f"{float(x):.10g}"
     return str(x).replace(" 00:00:00", "")
 
