@@ -123,8 +123,8 @@ TABLES: dict[str, str] = {
         SELECT d.club_id, d.transfer_date, r.elo
         FROM club_days d JOIN mapping m ON d.club_id = m.club_id JOIN ratings r USING (clubelo_club, clubelo_country)
         QUALIFY row_number() OVER (PARTITION BY d.club_id, d.transfer_date
-            ORDER BY CASE WHEN d.transfer_date BETWEEN r.rating_from_date AND r.rating_to_date THEN 0 ELSE 1 END,
-                abs(date_diff('day', d.transfer_date, r.rating_from_date)), r.rating_from_date) = 1""",
+            ORDER BY d.transfer_date BETWEEN r.rating_from_date AND r.rating_to_date DESC,
+                abs(d.transfer_date - r.rating_from_date), r.rating_from_date) = 1""",
     "elo": """
         SELECT transfer_id, f.elo AS from_club_elo, g.elo AS to_club_elo
         FROM transfers t
@@ -141,21 +141,25 @@ TABLES: dict[str, str] = {
         FROM recent_moves w JOIN players p ON lower(p.player_name) = lower(w.player_name)
         WHERE EXISTS (SELECT 1 FROM player_valuations v WHERE v.player_id = p.player_id AND v.current_club_name = w.club_name)
         QUALIFY row_number() OVER (PARTITION BY w.club_id, w.player_name, w.direction, w.transfer_date ORDER BY p.player_id) = 1""",
-    "ranked_valuations": """
-        SELECT c.*, v.valuation_date, v.market_value_in_eur,
-            row_number() OVER (PARTITION BY c.club_id, c.player_id ORDER BY v.valuation_date, v.player_valuation_id,
-                c.transfer_date, c.direction, c.player_name) AS rn_earliest,
-            row_number() OVER (PARTITION BY c.club_id, c.player_id ORDER BY v.valuation_date DESC, v.player_valuation_id DESC,
-                c.transfer_date, c.direction, c.player_name) AS rn_latest
-        FROM candidates c JOIN player_valuations v
-            ON c.player_id = v.player_id AND c.club_name = v.current_club_name AND c.transfer_date >= v.valuation_date""",
+    "known_values": """
+        SELECT c.*, market_value_in_eur AS value, valuation_date AS day, (valuation_date, player_valuation_id) AS place,
+            (transfer_date, direction, player_name) AS move
+        FROM candidates c JOIN player_valuations v ON v.player_id = c.player_id AND v.current_club_name = c.club_name
+        WHERE valuation_date <= transfer_date""",
+    "ends": """
+        SELECT club_id, player_id, min((place, move)) AS opening, max(place) AS top
+        FROM known_values GROUP BY club_id, player_id""",
+    "closings": """
+        SELECT k.club_id, k.player_id, min((place, move)) AS closing
+        FROM known_values k JOIN ends e ON k.club_id = e.club_id AND k.player_id = e.player_id AND k.place = e.top
+        GROUP BY k.club_id, k.player_id""",
     "trajectory": """
-        SELECT club_id, player_name, direction, transfer_date, player_id,
-            max(CASE WHEN rn_earliest = 1 THEN market_value_in_eur END) AS value_at_arrival,
-            max(CASE WHEN rn_earliest = 1 THEN valuation_date END) AS value_at_arrival_date,
-            max(CASE WHEN rn_latest = 1 THEN market_value_in_eur END) AS value_at_departure,
-            max(CASE WHEN rn_latest = 1 THEN valuation_date END) AS value_at_departure_date
-        FROM ranked_valuations GROUP BY ALL""",
+        SELECT k.club_id, player_name, direction, transfer_date, k.player_id,
+            max(value) FILTER ((place, move) = opening) AS value_at_arrival, max(day) FILTER ((place, move) = opening) AS value_at_arrival_date,
+            max(value) FILTER ((place, move) = closing) AS value_at_departure, max(day) FILTER ((place, move) = closing) AS value_at_departure_date
+        FROM known_values k JOIN ends e ON k.club_id = e.club_id AND k.player_id = e.player_id
+            JOIN closings c ON k.club_id = c.club_id AND k.player_id = c.player_id
+        GROUP BY ALL""",
     "tenure_titles": """
         SELECT t.club_id, t.player_name, t.direction, t.transfer_date,
             count(*) FILTER (title_type = 'league') AS league_titles_during_tenure,
@@ -197,7 +201,8 @@ READS: dict[str, list[str]] = {
     "performance": ["spells", "appearances", "games"], "value_at_end": ["spells", "player_valuations"],
     "club_days": ["transfers"], "rated_days": ["club_days", "mapping", "ratings"], "elo": ["transfers", "rated_days"],
     "titles": ["spells", "champions"], "candidates": ["recent_moves", "players", "player_valuations"],
-    "ranked_valuations": ["candidates", "player_valuations"], "trajectory": ["ranked_valuations"],
+    "known_values": ["candidates", "player_valuations"], "ends": ["known_values"], "closings": ["known_values", "ends"],
+    "trajectory": ["known_values", "ends", "closings"],
     "tenure_titles": ["trajectory", "champions"],
 }
 

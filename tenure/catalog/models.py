@@ -73,8 +73,8 @@ def asof_latest(t):
         FROM events WHERE event_type = 'signup') p ON f.user_id = p.user_id
     WHERE f.event_type = 'purchase'
     QUALIFY row_number() OVER (PARTITION BY f.event_id
-        ORDER BY CASE WHEN cast(f.ts AS date) BETWEEN from_day AND to_day THEN 0 ELSE 1 END,
-            abs(date_diff('day', cast(f.ts AS date), from_day)), from_day, to_day DESC, p.event_id) = 1""")
+        ORDER BY cast(f.ts AS date) BETWEEN from_day AND to_day DESC, abs(cast(f.ts AS date) - from_day), from_day,
+            to_day DESC, p.event_id) = 1""")
 def nearest_period(t):
     day = F.col("ts").cast("date")
     periods = t["events"].where("event_type = 'signup'").select(

@@ -16,8 +16,7 @@ from tenure.plans import reports
 SEASON, CLUB = "9%", "Club%"
 _SCOPED = "transfer_season LIKE '{s}' AND coalesce(tc.club_name, '') LIKE '{c}'"
 _FCT = "transfer_mart f LEFT JOIN clubs tc ON tc.club_id = f.to_club_id"
-_SEASON_YEAR = """CASE WHEN cast(left(transfer_season, 2) AS int) >= 50 THEN 1900 + cast(left(transfer_season, 2) AS int)
-        ELSE 2000 + cast(left(transfer_season, 2) AS int) END"""
+_SEASON_YEAR = "cast(left(transfer_season, 2) AS int) + if(cast(left(transfer_season, 2) AS int) >= 50, 1900, 2000)"
 
 
 def _fct(t):
@@ -26,8 +25,8 @@ def _fct(t):
 
 @query(sql(["transfer_mart", "clubs"], f"""
     SELECT count(*) AS transfers_analyzed,
-        round(avg(CASE WHEN market_value_at_spell_end != market_value_at_transfer THEN roi_financier END), 6) AS avg_roi_financier,
-        round(100.0 * sum(CASE WHEN market_value_at_spell_end = market_value_at_transfer THEN 1 ELSE 0 END) / count(*), 0) AS pct_stale_valuation,
+        round(avg(roi_financier) FILTER (market_value_at_spell_end != market_value_at_transfer), 6) AS avg_roi_financier,
+        round(100.0 * count(*) FILTER (market_value_at_spell_end = market_value_at_transfer) / count(*), 0) AS pct_stale_valuation,
         round(median(cost_per_goal_contribution), 6) AS median_cost_per_goal
     FROM {_FCT} WHERE roi_financier IS NOT NULL AND {_SCOPED.format(s='%', c='%')}"""))
 def kpi_summary(t):
@@ -158,7 +157,7 @@ def current_window_season(t):
 
 @query(sql(["transfer_mart", "clubs"], f"""
     SELECT count(*) AS total, count(tc.club_id) AS with_known_club,
-        cast(sum(CASE WHEN transfer_fee > 0 THEN 1 ELSE 0 END) AS bigint) AS fee_confirmed
+        count(*) FILTER (transfer_fee > 0) AS fee_confirmed
     FROM {_FCT} WHERE transfer_season = ({_NEWEST})"""))
 def window_counts(t):
     fct, _, clubs = _fct(t)
@@ -166,7 +165,7 @@ def window_counts(t):
 
 
 @query(sql(["transfer_mart"], f"""
-    SELECT round(100.0 * sum(CASE WHEN transfer_fee > 0 THEN 1 ELSE 0 END) / count(*), 1) AS pct_fee_confirmed
+    SELECT round(100.0 * count(*) FILTER (transfer_fee > 0) / count(*), 1) AS pct_fee_confirmed
     FROM transfer_mart WHERE transfer_season = (
         SELECT transfer_season FROM (SELECT DISTINCT transfer_season FROM transfer_mart)
         ORDER BY {_SEASON_YEAR} DESC NULLS LAST LIMIT 1 OFFSET 1)"""))
@@ -236,9 +235,8 @@ def first_last_value(t):
 
 
 @query("""
-    SELECT user_id, event_type, max(CASE WHEN rn_earliest = 1 THEN value END) AS first_value, max(CASE WHEN rn_latest = 1 THEN value END) AS last_value
-    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn_earliest,
-            row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn_latest FROM events)
+    SELECT user_id, event_type, max(value) FILTER ((ts, event_id) = lo) AS first_value, max(value) FILTER ((ts, event_id) = hi) AS last_value
+    FROM (SELECT *, min((ts, event_id)) OVER (PARTITION BY user_id) AS lo, max((ts, event_id)) OVER (PARTITION BY user_id) AS hi FROM events)
     GROUP BY user_id, event_type""")
 def first_last_rank_grain(t):
     return ranking.first_last(t["events"], ["user_id", "event_type"], ["ts", "event_id"], ["value"], rank_keys=["user_id"])

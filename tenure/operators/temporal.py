@@ -255,7 +255,8 @@ def interval_join(
     inside = attach(facts, hit, [*keys, date], "inner")
     if how == "inner":
         return inside
-    unused = attach(spans, inside.select(span_id).distinct(), [span_id], "left_anti")
+    # Every hit day has a fact, so the spans in use are known without the facts themselves.
+    unused = attach(spans, hit.select(span_id).distinct(), [span_id], "left_anti")
     return inside.unionByName(unused.select(*keys, span_id, start, end), allowMissingColumns=True)
 
 
