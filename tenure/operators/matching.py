@@ -182,9 +182,11 @@ def token_set_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], thr
     rarity = counted.agg(F.map_from_entries(F.collect_list(F.struct("__g", "__freq")))).scalar()
 
     def leading_grams(side: DataFrame) -> DataFrame:
-        numbered = F.transform("__grams", lambda g, i: F.concat(
+        repeats = F.transform("__grams", lambda g, i: F.concat(
             g, F.size(F.filter(F.slice("__grams", F.lit(1), i + 1), lambda other: other == g)).cast("string")
         ))
+        single = F.size(F.array_distinct("__grams")) == F.size("__grams")
+        numbered = F.when(single, F.transform("__grams", lambda g: F.concat(g, F.lit("1")))).otherwise(repeats)
         ranked = F.array_sort(F.transform(numbered, lambda f: F.struct(
             F.element_at(F.col("__rarity"), F.substring(f, 1, 2)).alias("freq"), f.alias("f")
         )))
