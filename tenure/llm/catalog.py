@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import chunkbpe, decontaminate, minhash, ppm, prefixcounts, quality, secrets, sharding, surrogates
+from tenure.llm import chunkbpe, decontaminate, minhash, ppm, prefixcounts, quality, secrets, sharding, suffixes, surrogates
 from tenure.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": lambda spark, folder: prefixcounts.op4_token_counts(table(spark, folder, "documents")),
     "op5_simhash_decontamination": lambda spark, folder: decontaminate.op5_simhash_decontamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
     "op6_shuffle_shards": lambda spark, folder: sharding.op6_shuffle_shards(table(spark, folder, "documents")),
+    "op7_suffix_dedup": lambda spark, folder: suffixes.op7_suffix_dedup(table(spark, folder, "documents")),
     "op8_ppm_language": lambda spark, folder: ppm.op8_ppm_language(table(spark, folder, "documents")),
     "op9_quality_llr": lambda spark, folder: quality.op9_quality_llr(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op10_surrogates": lambda spark, folder: surrogates.op10_surrogates(table(spark, folder, "documents")),
