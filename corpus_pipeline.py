@@ -1,13 +1,69 @@
-"""The corpus pipeline: documents through five stages, each writing Parquet that the next one reads."""
+"""The corpus pipeline: documents through five stages, in the order of STAGES.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame that is
+written as Parquet and read again for the next one. All but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tenure.llm import chunkbpe, decontaminate, minhash, ppm, secrets
+from tenure.llm.tables import shared_folder, table
+
+#: A language is believed from this share of 2 ** -bits on; less is a text that no tree fits better than another.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents with a language, learnt from the labelled ones; `lang` is filled in where it is null."""
+    found = ppm.identify(docs, ppm.training_sample(docs))
+    believed = found.filter((F.col("lang_pred") != ppm.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return believed.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group linked at similarity 0.8 or more."""
+    return minhash.keep_one(docs, percent=80)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that hold no benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep all documents, secrets in their texts masked; n_chars follows the text."""
+    masked = secrets.redact(secrets.secret_scan(docs, secrets.train(docs)))
+    changed = F.size("secret_spans") > 0
+    return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Add n_tokens and token_ids."""
+    return chunkbpe.encode(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language ID", identify_language),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("secret scans", mask_secrets),
+    ("BPE encoding", encode_tokens),
+]
+#: No stage can be said in SQL (trained trees, sketches, models, a tokenizer): the tests run brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Not all stages are there yet."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of a folder; what each keeps is written to the shared folder."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        at = f"{folder}/{number}"
+        stage(spark, docs, sf_dir).write.parquet(at)
+        docs = spark.read.parquet(at)
+    return docs

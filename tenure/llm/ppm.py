@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from tenure.llm.blocks import blocks, text_bytes, worker_cache
+from tenure.llm.tables import in_sample, keys
 
 ORDER = 3
 #: Labelled documents per language that a tree is counted on at most.
@@ -26,10 +27,13 @@ UNKNOWN = "und"
 
 
 def training_sample(docs: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> DataFrame:
-    """(lang, text) of the documents with the smallest hashed ids of each language."""
+    """(lang, text) of at most `per_language` documents of each language, drawn by a hash of the id."""
+    # Twice as many as wanted by the hash alone, so that only these are put in order.
+    share = docs.filter("lang is not null").groupBy("lang").agg(F.least(F.lit(1.0), 2 * per_language / F.count("*")).alias("_share"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
     labelled = docs.filter("lang is not null and text is not null and text <> ''").select("doc_id", "lang", "text")
-    return labelled.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("lang", "text")
+    drawn = labelled.join(keys(share), "lang").filter(in_sample(F.col("_share"), "doc_id"))
+    return drawn.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("lang", "text")
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.llm.spans import fixed_array, match_spans
+from tenure.llm.tables import in_sample
 
 # Fixed patterns of the base rules, letters of the key names in either case.
 ASSIGN = (
@@ -30,7 +31,7 @@ IDENTIFIER = r"[A-Za-z0-9_-]{6,}"
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=.-"
 STATES = len(ALPHABET) + 1
-#: Documents of each label that the models are fitted on at most, those with the smallest hashed ids.
+#: Documents of each label that the models are fitted on at most, drawn by a hash of id and text.
 SAMPLE_MOST = 2000
 THRESHOLD = 0.5
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
@@ -79,12 +80,19 @@ def train(docs: DataFrame, most: int = SAMPLE_MOST) -> list[float] | None:
     """
     text = F.coalesce("text", F.lit(""))
     spotted = docs.select("doc_id", text.alias("text")).withColumn("spans", base_spans(F.col("text")))
-    first = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+    counts = {r["found"]: r["n"] for r in spotted.groupBy((F.size("spans") > 0).alias("found")).agg(F.count("*").alias("n")).collect()}
+
+    def sample(found: bool) -> DataFrame:
+        # Twice as many as wanted by the hash alone, so that only these are put in order.
+        share = min(1.0, 2 * most / counts.get(found, 1))
+        some = spotted.filter(in_sample(F.lit(share), "doc_id", "text")).filter((F.size("spans") > 0) == found)
+        return some.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(most)
+
     cut = F.transform("spans", lambda s: F.substring("text", s["start"] + 1, s["end"] - s["start"]))
     # Of an assignment, the name in front is no part of the random string.
     values = F.transform(cut, lambda v: F.regexp_replace(v, r"""^[A-Za-z_]+["']?\x20*[:=]\x20*["']?""", ""))
-    random = spotted.filter(F.size("spans") > 0).orderBy(*first).limit(most).select(F.explode(values).alias("value"))
-    plain = spotted.filter(F.size("spans") == 0).orderBy(*first).limit(most).select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
+    random = sample(True).select(F.explode(values).alias("value"))
+    plain = sample(False).select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
     logs = []
     for strings in (random, plain):
         rows = _transitions(strings).collect()

@@ -4,20 +4,43 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows up to which a list of keys is sent to all tasks; a longer one is joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """`df` written once to `spark.checkpoint.dir`, the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in `spark.checkpoint.dir`, which all executors share.
 
-    Where neither that setting nor a checkpoint folder of the context is there (tests on one
-    machine), a folder of its own is set first.
+    Where neither that setting nor a checkpoint folder of the context is there (tests on one machine), a folder of
+    its own is set first.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` written once to the shared folder, and read from there whatever becomes of an executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def keys(listed: DataFrame) -> DataFrame:
+    """Distinct keys, written once, and marked for broadcast if they are few enough."""
+    listed = written(listed.distinct())
+    return F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
+
+
+def in_sample(share: Column, *columns: str) -> Column:
+    """Whether the hash of the columns falls into the lowest `share` of all hashes; the same rows each time."""
+    return F.pmod(F.xxhash64(F.lit("sample"), *columns), F.lit(1 << 30)) < share * (1 << 30)
