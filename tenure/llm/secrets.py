@@ -27,13 +27,15 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGN_LEAST = 8
 #: Runs of key characters that the models judge; the lookbehind keeps the scan linear in long runs.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"[A-Za-z0-9_-]{6,}"
+#: Words that the model of ordinary strings learns from: shorter than those that are judged.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_-]{6,19}(?![A-Za-z0-9+/_=-])"
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=.-"
 STATES = len(ALPHABET) + 1
 #: Documents of each label that the models are fitted on at most, drawn by a hash of id and text.
 SAMPLE_MOST = 2000
 THRESHOLD = 0.5
+SMOOTHING = 10
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -98,10 +100,13 @@ def train(docs: DataFrame, most: int = SAMPLE_MOST) -> list[float] | None:
         rows = _transitions(strings).collect()
         if not rows:
             return None
-        counts = [[0.5] * STATES for _ in range(STATES)]
+        pairs = [[0] * STATES for _ in range(STATES)]
         for row in rows:
-            counts[row["a"]][row["b"]] += row["n"]
-        logs.append([[math.log(n / sum(line)) for n in line] for line in counts])
+            pairs[row["a"]][row["b"]] += row["n"]
+        # What follows a rare character is smoothed with how often characters follow at all.
+        single = [sum(line[b] for line in pairs) + 0.5 for b in range(STATES)]
+        share = [n / sum(single) for n in single]
+        logs.append([[math.log((n + SMOOTHING * p) / (sum(line) + SMOOTHING)) for n, p in zip(line, share)] for line in pairs])
     return [round(r - p, 4) for random_line, plain_line in zip(*logs) for r, p in zip(random_line, plain_line)]
 
 

@@ -42,7 +42,7 @@ def test_base_spans(make_docs, rng):
 def test_models_tell_random_from_ordinary(make_docs, spark, rng):
     docs = make_docs([*secret_texts(rng), *(prose(rng, 60) for _ in range(40))])
     ratios = secrets.train(docs)
-    random, plain = "Zk3vQ9xW7mB2pL8tR5yN", "averyordinaryidentifiername"
+    random, plain = "Zk3vQ9xW7mB2pL8tR5yN", "renlismokashendurtobawol"
     row = spark.range(1).select(*(secrets.mean_ratio(F.lit(v), ratios) for v in (random, plain))).first()
     assert row[0] > secrets.THRESHOLD > row[1]
     found = secrets.op3_markov_secrets(docs.unionByName(make_docs([f"see {random} there", f"see {plain} there"], ids=[900, 901])))
