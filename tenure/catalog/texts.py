@@ -233,7 +233,7 @@ def html_tables(t):
         CASE WHEN row_no = 1 THEN '€' || (page_id % 90) || 'm' END AS fee_text
     FROM pages, (VALUES (1), (2), (3)) r(row_no)""")
 def page_moves(t):
-    return html.move_rows(html.html_tables(_pages_with_table(t), ["page_id"], "html"), ["page_id"])
+    return html.move_rows(html.html_rows(_pages_with_table(t), ["page_id"], "html"), ["page_id"])
 
 
 @query()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,7 +95,9 @@ def may_have_fee(type_text: Column) -> Column:
 def href_title(href: Column) -> Column:
     """'/wiki/Jo%C3%A3o_F%C3%A9lix' -> 'João_Félix'. A plus sign stays a plus sign."""
     title = F.regexp_replace(href, HREF_PREFIX, "")
-    return F.coalesce(F.try_url_decode(F.replace(title, F.lit("+"), F.lit("%2B"))), title)
+    # A percent sign that starts no escape stands for itself.
+    escaped = F.regexp_replace(F.replace(title, F.lit("+"), F.lit("%2B")), r"%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), title)
 
 
 def mention_windows(text: Column, term: Column, before: int = WINDOW_BEFORE, after: int = WINDOW_AFTER) -> Column:
@@ -134,8 +134,3 @@ def mention_amount(
         F.lit(None).cast("string"),
         lambda found, w: F.coalesce(found, *[first_amount(w, p) for p in patterns]),
     )
-
-
-def first_of(conditions: list[tuple[Column, Column]], default: Column) -> Column:
-    """The value of the first condition that holds."""
-    return reduce(lambda rest, cv: F.when(cv[0], cv[1]).otherwise(rest), reversed(conditions), default)

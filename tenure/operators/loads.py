@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -26,14 +25,18 @@ def load_time(load_id: Column) -> Column:
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], version: Sequence[Column]) -> DataFrame:
-    """`base` with the rows of `delta` merged in by key; the last load wins.
+    """`base` with the rows of `delta` merged in by key; the newest version wins, at equal versions the delta.
 
-    The delta is reduced to its newest row per key, `version` giving the order, newest first.
-    `base` must hold one row per key; it is only filtered (anti-join), never sorted, so a small
-    delta leaves it in place. NULL keys match each other.
+    `version` gives the order, newest first. `base` must hold one row per key; rows that the delta does not
+    touch are only filtered (anti-join), never sorted, and the others meet it to compare versions, so a late
+    delta with an older version changes nothing. NULL keys match each other.
     """
     newest = latest_per_key(delta, keys, version)
-    return keep_missing(base, newest, list(keys), null_safe=True).unionByName(newest)
+    same = reduce(lambda x, y: x & y, [F.col(f"b.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+    touched = base.alias("b").join(newest.select(*keys).alias("n"), same, "left_semi")
+    both = touched.withColumn("__late", F.lit(0)).unionByName(newest.withColumn("__late", F.lit(1)))
+    settled = latest_per_key(both, keys, [*version, F.col("__late").desc()]).drop("__late")
+    return keep_missing(base, newest, list(keys), null_safe=True).unionByName(settled)
 
 
 def rebuild(loads: DataFrame, keys: Sequence[str], version: Sequence[Column]) -> DataFrame:
@@ -101,7 +104,3 @@ def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Data
         marked.where(F.size("reject_reasons") == 0).drop("reject_reasons"),
         marked.where(F.size("reject_reasons") > 0),
     )
-
-
-def days_before(as_of: dt.date, days: int) -> dt.date:
-    return as_of - dt.timedelta(days=days)

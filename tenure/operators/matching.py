@@ -12,7 +12,7 @@ from tenure.functions.names import has_reserve_marker, name_tokens, title_accept
 from tenure.functions.similarity import token_set_score
 from tenure.operators.joins import attach, keep_missing
 from tenure.operators.ranking import latest_per_key
-from tenure.session import cut_lineage
+from tenure.session import shared
 
 # Country name to rating-country code, and checked name overrides.
 COUNTRY_CODES = {
@@ -87,9 +87,10 @@ def override(automatic: Column, name: Column, overrides: dict[str, str]) -> Colu
     return F.coalesce(literal_map(overrides, name), automatic)
 
 
-def pick_candidate(candidates: DataFrame, keys: Sequence[str], rank: str, title: str, season: str, name: str, top: int = 3) -> DataFrame:
-    """Per search, the first of its `top` hits whose title names the season and the entity."""
-    accepted = candidates.where(F.col(rank) <= top).where(title_accepts(F.col(title), F.col(season), F.col(name)))
+def pick_candidate(candidates: DataFrame, keys: Sequence[str], rank: str, title: str, season: str, name: str, top: int | None = None) -> DataFrame:
+    """Per search, the first of its hits whose title names the season and the entity; `top` looks at the first hits only."""
+    seen = candidates if top is None else candidates.where(F.col(rank) <= top)
+    accepted = seen.where(title_accepts(F.col(title), F.col(season), F.col(name)))
     return latest_per_key(accepted, keys, [F.col(rank).asc()])
 
 
@@ -212,6 +213,7 @@ def fuzzy_block_match(
     right_order: str,
     threshold: float = ACCEPT_THRESHOLD,
     overrides: dict[str, str] | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Match each left row to its best right name of the same block by token-set score.
 
@@ -242,9 +244,9 @@ def fuzzy_block_match(
         .groupBy(*guarded, "__id", "__tokens")
         .agg(F.min(F.struct(F.col(right_order).alias("order"), F.col(right_name).alias("name"))).alias("__first"))
     )
-    # The distinct sets feed many branches of the pair search, so each side is written once.
-    tokens_right = cut_lineage(tokens_right)
-    sets = cut_lineage(tokens_left.select(*guarded, "__id", "__tokens").distinct())
+    # The distinct sets feed many branches of the pair search.
+    tokens_right = shared(tokens_right, scratch)
+    sets = shared(tokens_left.select(*guarded, "__id", "__tokens").distinct(), scratch)
     # Scores are accepted after rounding to three digits, so pairs just below the threshold count too.
     pairs = token_set_pairs(sets, tokens_right.select(*guarded, "__id", "__tokens"), guarded, threshold - 0.0005)
     scored = pairs.withColumn("__score", token_set_score(F.split("__l", " "), F.split("__r", " ")))
@@ -262,8 +264,3 @@ def fuzzy_block_match(
         F.when(manual.isNotNull(), "manual").when(F.col("__match").isNotNull(), "auto").otherwise("rejected").alias("source"),
     )
 
-
-def unmatched_codes(df: DataFrame, known: DataFrame, code: str, known_code: str) -> DataFrame:
-    """Rows whose code is NULL or has no candidate at all; they can never match."""
-    return keep_missing(df, known, {code: known_code})
-

@@ -12,14 +12,13 @@ _COARSE, _FINE = 64, 65536
 def exact_median(df: DataFrame, value: str, out: str) -> DataFrame:
     """One row with the exact median of a numeric column (mean of the two middle values).
 
-    Equal values collapse into counts first. A histogram over the exponent of the value (a fixed
-    number of buckets) finds the bucket of the middle ranks; two finer histograms, each between the
-    least and the greatest value of what is left, narrow it down; only the distinct values of the
-    last slice are put in order. The histograms are small whatever the size of the input, and all
-    steps read one shuffle.
+    A histogram over the exponent of the value (a fixed number of buckets) finds the bucket of the
+    middle ranks; two finer histograms, each between the least and the greatest value of what is
+    left, narrow it down; only the distinct values of the last slice are counted and put in order.
+    Each step scans the column again and shuffles no more than the buckets of each task.
     """
     v = F.col(value).cast("double")
-    counts = df.where(v.isNotNull()).groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    counts = df.where(v.isNotNull()).select(v.alias("__v"), F.lit(1).cast("long").alias("__c"))
     exponent = F.floor(F.log2(F.abs("__v")) * _COARSE) + 100 * 1000
     rows = counts.withColumn("__s", F.when(F.col("__v") == 0, F.lit(0).cast("long")).otherwise(F.signum("__v").cast("long") * exponent))
     everything = Window.partitionBy(F.lit(1))
@@ -49,5 +48,6 @@ def exact_median(df: DataFrame, value: str, out: str) -> DataFrame:
         steps = steps.withColumn("__first", F.min("__first").over(everything))
         rows = rows.select("__v", "__c", *key)
     kept = middle(steps, "__lo").select(*key, "__first", "__r1", "__r2")
-    last = rows.join(F.broadcast(kept), key).withColumn("__first", F.min("__first").over(everything))
+    last = rows.join(F.broadcast(kept), key).groupBy("__v", "__r1", "__r2").agg(F.sum("__c").alias("__c"), F.min("__first").alias("__first"))
+    last = last.withColumn("__first", F.min("__first").over(everything))
     return middle(last, "__v").agg(((F.min("__v") + F.max("__v")) / 2).alias(out))

@@ -37,13 +37,13 @@ def load_market_table(spark: SparkSession, folder: str, table: str, root: str, l
     """Load one CSV table as load `load_id` and return the table as it then stands.
 
     Malformed lines go to `<root>/rejected/<table>` and do not stop the load. Loading the same id
-    again changes nothing.
+    again changes nothing. Of rows with one key in a load the highest by all columns stays.
     """
     raw = read_market(spark, folder, table)
     rejected = raw.where(F.col(CORRUPT).isNotNull())
     stamp(rejected, load_id).write.mode("overwrite").parquet(f"{root}/rejected/{table}/load={load_id}")
     good = stamp(raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT), load_id)
-    append_load(good, load_id, f"{root}/{table}", PRIMARY_KEYS[table], [LOAD_ID])
+    append_load(good, load_id, f"{root}/{table}", PRIMARY_KEYS[table], [LOAD_ID, *[c for c in good.columns if c != LOAD_ID]])
     return read_current(spark, f"{root}/{table}", StructType(good.schema.fields), PRIMARY_KEYS[table])
 
 
@@ -89,7 +89,7 @@ def page_moves(hits: DataFrame, sections: DataFrame, articles: DataFrame) -> Dat
     about = sections.where(F.contains(F.lower("heading"), F.lit("transfer")))
     first = latest_per_key(about, ["page_id"], [F.col("section").asc()]).select("page_id", "html")
     pages = attach(picked.select("page_id").distinct(), first, ["page_id"], "inner")
-    rows = html.move_rows(html.html_tables(pages, ["page_id"], "html"), ["page_id"])
+    rows = html.move_rows(html.html_rows(pages, ["page_id"], "html"), ["page_id"])
     moves = attach(rows, picked, ["page_id"], "inner")
     # Each (player article, destination) is read once, however many moves ask for it.
     asked = html.needs_prose_fee(moves, "club_name").select("player_wiki_title", "destination_club").distinct()

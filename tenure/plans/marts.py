@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tenure.functions.text import url_from_key
 from tenure.operators.joins import attach
 from tenure.operators.ranking import latest_per_key
 from tenure.plans import intermediate as im
-from tenure.session import cut_lineage
+from tenure.session import shared
 
 # Address pattern of the club crests.
 CREST_URL = ("https://tmssl.akamaized.net/images/wappen/tiny/", ".png")
@@ -83,11 +84,18 @@ def transfer_indicators(
         F.col("market_value_in_eur").alias("market_value_at_transfer"),
     )
     stats = ["matches_played", "seasons_played", "goals", "assists", "minutes_played", "yellow_cards", "red_cards"]
-    out = attach(base, club_spell.select("transfer_id", "spell_end_date", "is_current_spell"), key, "inner")
-    out = attach(out, value_at_end.select("transfer_id", "market_value_at_spell_end", "market_value_at_spell_end_date"), key)
-    out = attach(out, performance.select("transfer_id", *[F.col(c).alias(f"{c}_during_spell") for c in stats]), key)
-    out = attach(out, elo.select("transfer_id", "from_club_elo", "to_club_elo"), key)
-    out = attach(out, titles.select("transfer_id", "league_titles_during_spell", "cup_titles_during_spell"), key)
+    # All inputs have at most one row per transfer, so one aggregation over their union joins them in one shuffle.
+    inputs = [
+        base.withColumn("__base", F.lit(True)),
+        club_spell.select("transfer_id", "spell_end_date", "is_current_spell").withColumn("__spell", F.lit(True)),
+        value_at_end.select("transfer_id", "market_value_at_spell_end", "market_value_at_spell_end_date"),
+        performance.select("transfer_id", *[F.col(c).alias(f"{c}_during_spell") for c in stats]),
+        elo.select("transfer_id", "from_club_elo", "to_club_elo"),
+        titles.select("transfer_id", "league_titles_during_spell", "cup_titles_during_spell"),
+    ]
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), inputs)
+    merged = stacked.groupBy(*key).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in key])
+    out = merged.where("__base and __spell").drop("__base", "__spell")
     out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("league_titles_during_spell", "cup_titles_during_spell")})
     fee = F.col("transfer_fee")
     gained = F.col("market_value_at_spell_end") - F.col("market_value_at_transfer") - fee
@@ -100,18 +108,16 @@ def transfer_indicators(
     })
 
 
-def fct_transfer(tables: dict[str, DataFrame], as_of: dt.date | Column, written_spells: bool = True) -> DataFrame:
+def fct_transfer(tables: dict[str, DataFrame], as_of: dt.date | Column, scratch: str | None = None) -> DataFrame:
     """One row per transfer with its spell, performance, values, ratings, titles and indicators.
 
     `tables` holds the staged transfers, appearances, games, club_games, player_valuations, scope,
-    mapping and ratings. The spells feed four branches; they are narrow, so by default they are
-    written once and read back (`cut_lineage`) instead of being rebuilt per branch.
+    mapping and ratings. The spells feed four branches; with a `scratch` folder they are written once
+    and read back (`shared`).
     """
     day = as_of if isinstance(as_of, Column) else F.lit(as_of)
     transfers = tables["transfers"]
-    club_spell = im.club_spells(transfers)
-    if written_spells:
-        club_spell = cut_lineage(club_spell)
+    club_spell = shared(im.club_spells(transfers), scratch)
     champions = im.season_champions(tables["scope"], tables["games"], tables["club_games"])
     return transfer_indicators(
         transfers,
@@ -143,16 +149,14 @@ def recent_move_indicators(moves: DataFrame, trajectory: DataFrame, players: Dat
     })
 
 
-def fct_recent_moves(tables: dict[str, DataFrame], full_grain: bool = False, written_trajectory: bool = True) -> DataFrame:
+def fct_recent_moves(tables: dict[str, DataFrame], full_grain: bool = False, scratch: str | None = None) -> DataFrame:
     """One row per staged page move, priced against the player's own value history at that club.
 
-    The trajectory feeds two branches and is narrow, so by default it is written once.
+    The trajectory feeds two branches; with a `scratch` folder it is written once (`shared`).
     """
     players = tables["players"]
     moves = tables["recent_moves"]
-    trajectory = im.value_trajectory(moves, players, tables["player_valuations"], full_grain)
-    if written_trajectory:
-        trajectory = cut_lineage(trajectory)
+    trajectory = shared(im.value_trajectory(moves, players, tables["player_valuations"], full_grain), scratch)
     champions = im.season_champions(tables["scope"], tables["games"], tables["club_games"])
     return recent_move_indicators(moves, trajectory, players, im.titles_during_tenure(trajectory, champions))
 

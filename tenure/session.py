@@ -1,8 +1,8 @@
-"""Session settings and lineage cuts shared by every job."""
+"""Session settings shared by every job, and results that several branches of a plan share."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,16 +34,14 @@ def build(app: str = "tenure", master: str | None = None, **conf: str) -> SparkS
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and continue from the written copy.
+def shared(df: DataFrame, scratch: str | None) -> DataFrame:
+    """`df` written once to a new folder under `scratch` and read back, so that several branches share one computation.
 
-    Used where a narrow result feeds several branches of one plan. The copy lies in the folder
-    the cluster names in `spark.checkpoint.dir`, so a lost executor costs a re-read and no more.
-    Only a local session without that setting gets a folder of its own.
+    `scratch` is a folder that every executor can reach and that the caller cleans up. Without one, `df` itself
+    is returned and Spark reuses the exchanges that the branches have in common.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tenure-checkpoint-"))
-    return df.checkpoint(eager=True)
+    if scratch is None:
+        return df
+    folder = f"{scratch}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)

@@ -55,21 +55,16 @@ RESULTS_SCHEMAS = {
 }
 
 
-def text_schema(spec: str, sources: list[str] = ()) -> StructType:
-    """All source columns of a staging spec as text, plus the corrupt-record column."""
-    names = list(dict.fromkeys([*sources, *[i.source for i in parse_spec(spec)]]))
-    return StructType([StructField(n, StringType()) for n in names] + [StructField(CORRUPT, StringType())])
-
-
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """CSV files as text columns, matched by header name; malformed lines are kept in `_corrupt_record`.
 
-    The header of the files decides the order of the columns, so it is read once from the first line.
+    The header of the files decides the order of the columns, so it is read once from the first line. A file of
+    the folder with another header fails the read rather than being read shifted.
     """
     header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
     schema = StructType([StructField(n, StringType()) for n in header] + [StructField(CORRUPT, StringType())])
     rows = (
-        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+        spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).option("escape", '"').csv(path)
     )
     missing = [c for c in columns if c not in header]

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StringType
+from pyspark.sql.types import StringType
 
 from tenure.functions.text import (
     fee_amount,
@@ -152,10 +152,11 @@ RATINGS = {
 
 
 def strict_cast(df: DataFrame, column: str, kind: str) -> Column:
-    """ANSI cast: a value that does not fit fails the job. Whole numbers may be written '3.0'."""
+    """ANSI cast: a value that does not fit fails the job. Whole numbers may be written '3.0', never '3.7'."""
     c = F.col(column)
     if kind in ("int", "long") and isinstance(df.schema[column].dataType, StringType):
-        return c.cast(DecimalType(28, 6)).cast(kind)
+        # Anything but zeros behind the point stays in the text, on which the cast fails.
+        return F.regexp_replace(F.trim(c), r"(?<=[0-9])\.0*$", "").cast(kind)
     return c.cast(kind)
 
 

@@ -188,7 +188,36 @@ def test_stream_of_files_equals_one_batch(spark, tmp_path):
     assert rows(upserts.read_current(spark, str(tmp_path / "compacted"), schema, ["id"])) == rows(current)
 
 
-def test_lineage_cut_uses_the_session_folder(spark):
-    df = session.cut_lineage(spark.range(5))
+def test_shared_results_lie_in_the_callers_folder(spark, tmp_path):
+    df = session.shared(spark.range(5), str(tmp_path / "scratch"))
     assert df.count() == 5
     assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
+    assert len(list((tmp_path / "scratch").iterdir())) == 1
+    same = spark.range(5)
+    assert session.shared(same, None) is same
+
+
+def test_late_older_delta_changes_nothing(spark):
+    base = spark.createDataFrame([(1, "new", 5), (2, "b", 1)], "id long, v string, load int")
+    delta = spark.createDataFrame([(1, "old", 3), (2, "B", 2)], "id long, v string, load int")
+    order = [F.col("load").desc()]
+    assert rows(loads.upsert(base, delta, ["id"], order), "id", "v") == [(1, "new"), (2, "B")]
+    assert rows(loads.upsert(base, delta, ["id"], order)) == rows(loads.rebuild(base.unionByName(delta), ["id"], order))
+
+
+def test_strict_cast_refuses_fractions(spark):
+    df = spark.createDataFrame([("3.0",), (" 4 ",), ("5.",), (None,)], "x string")
+    assert rows(df.select(staging.strict_cast(df, "x", "int").alias("x"))) == [(3,), (4,), (5,), (None,)]
+    for bad in ("3.7", "3.00000001", "x", ""):
+        df = spark.createDataFrame([(bad,)], "x string")
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            df.select(staging.strict_cast(df, "x", "int")).collect()
+
+
+def test_files_with_another_column_order_are_refused(spark, tmp_path):
+    folder = tmp_path / "swapped.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("club,country\nA,ENG\n")
+    (folder / "b.csv").write_text("country,club\nESP,B\n")
+    with pytest.raises(Exception, match="CSV header"):
+        readers.read_csv(spark, str(folder), ["club", "country"]).collect()

@@ -190,10 +190,7 @@ PAGE = """
 
 
 def test_table_cells_with_spans(spark):
-    cells = list(html.table_cells(PAGE.format(h="From")))
-    grid = {}
-    for _, row, col, _, value, href in cells:
-        grid.setdefault(row, []).append((value, href))
+    grid = {row: [(c["text"], c["href"]) for c in cells] for _, row, cells, _ in html.page_rows(PAGE.format(h="From"))}
     assert grid[1] == [("1 July 2026", None), ("JoãoF.[a]", "/wiki/Jo%C3%A3o"), ("Porto", None), ("", None), ("€70M + €10M variables", None)]
     assert grid[2] == [("1 July 2026", None), ("Rui", None), ("Braga", "/wiki/Braga"), ("Loan", None), ("", None)]
     assert grid[3] == [("wide", None), ("", None), ("Vila", None), ("", None), ("", None)]
@@ -202,7 +199,25 @@ def test_table_cells_with_spans(spark):
 
 def test_rowspan_over_two_columns_repeats_in_both(spark):
     page = '<table class="wikitable"><tr><th>A</th><th>B</th><th>C</th></tr><tr><td rowspan="2" colspan="2">x</td><td>1</td></tr><tr><td>2</td></tr></table>'
-    assert [c[4] for c in html.table_cells(page)] == ["x", "", "1", "x", "x", "2"]
+    assert [c["text"] for _, _, cells, _ in html.page_rows(page) for c in cells] == ["x", "", "1", "x", "x", "2"]
+
+
+def test_broken_pages_stay_with_themselves(spark):
+    head = '<table class="wikitable"><tr><th>Player</th><th>From</th></tr>'
+    nested = head + "<tr><td>Rui<table><tr><td>x</td></tr></table></td><td>Club</td></tr></table>"
+    pages = [(1, head + '<tr><td colspan="²">Ana</td><td>Porto</td></tr></table>'), (2, "<![foo[x]]>" + head + "<tr><td>Eva</td><td>Lens</td></tr></table>"),
+             (3, nested), (4, head + '<tr><td rowspan="2" colspan="5000000">Wide</td></tr><tr><td>gone</td></tr></table>'), (5, None)]
+    read = html.html_rows(spark.createDataFrame(pages, "page_id long, html string"), ["page_id"], "html")
+    assert rows(html.move_rows(read, ["page_id"]), "page_id", "player_name", "other_club_name")[:1] == [(1, "Ana", "Porto")]
+    assert (3, "Ruix", "Club") in rows(html.move_rows(read, ["page_id"]), "page_id", "player_name", "other_club_name")
+    rejects = {r["page_id"]: (r["dropped"], r["error"]) for r in html.page_rejects(read, ["page_id"]).collect()}
+    assert rejects[4] == (1, None) and set(rejects) <= {2, 4} and (2 not in rejects or rejects[2][1])
+
+
+def test_last_column_of_a_header_holds_the_value(spark):
+    page = '<table class="wikitable"><tr><th>Player</th><th>To</th><th>Left from</th><th>Player</th></tr><tr><td>a</td><td>b</td><td>c</td><td>d</td></tr></table>'
+    read = html.html_rows(spark.createDataFrame([(1, page)], "page_id long, html string"), ["page_id"], "html")
+    assert rows(html.move_rows(read, ["page_id"]), "direction", "player_name", "other_club_name") == [("in", "d", "c")]
 
 
 @pytest.mark.parametrize("header,direction", [
@@ -210,7 +225,7 @@ def test_rowspan_over_two_columns_repeats_in_both(spark):
 ])
 def test_move_rows_by_header(spark, header, direction):
     pages = spark.createDataFrame([(5, PAGE.format(h=header))], "page_id long, html string")
-    got = html.move_rows(html.html_tables(pages, ["page_id"], "html"), ["page_id"])
+    got = html.move_rows(html.html_rows(pages, ["page_id"], "html"), ["page_id"])
     if direction is None:
         assert got.count() == 0
         return
