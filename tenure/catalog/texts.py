@@ -236,9 +236,49 @@ def page_moves(t):
     return html.move_rows(html.html_rows(_pages_with_table(t), ["page_id"], "html"), ["page_id"])
 
 
-@query()
+_MARKERS = ", ".join(f"'{m}'" for m in names.RESERVE_MARKERS)
+
+# All pairs of one block are scored. The longest common subsequence of two rests is built up character by character:
+# `line[j + 1]` is its length over the characters of `a` so far and the first j of `b`.
+_FUZZY = f"""
+    WITH RECURSIVE sides AS (
+        SELECT p_partkey, p_brand, p_size, true AS is_left, p_name || ' ' || p_type AS name FROM part
+        UNION ALL SELECT p_partkey, p_brand, p_size, false, p_name || 's ' || left(p_type, 4) FROM part),
+    named AS (SELECT *, list_sort(list_distinct({_token_sql("name")})) AS tokens FROM sides),
+    marked AS (SELECT *, len(list_intersect(tokens, [{_MARKERS}])) > 0 AS reserve FROM named),
+    met AS (
+        SELECT l.p_partkey, l.tokens AS x, r.tokens AS y, r.p_partkey AS other, r.name AS candidate
+        FROM marked l JOIN marked r USING (p_brand, p_size, reserve) WHERE l.is_left AND NOT r.is_left AND len(l.tokens) > 0 AND len(r.tokens) > 0),
+    split AS (
+        SELECT x, y, array_to_string(list_sort(list_intersect(x, y)), ' ') AS common,
+            array_to_string(list_filter(x, lambda w: NOT list_contains(y, w)), ' ') AS a,
+            array_to_string(list_filter(y, lambda w: NOT list_contains(x, w)), ' ') AS b
+        FROM (SELECT DISTINCT x, y FROM met)),
+    rests AS (SELECT DISTINCT a, b FROM split),
+    grown AS (
+        SELECT a, b, 0 AS i, list_transform(range(len(b) + 1), lambda j: 0::BIGINT) AS line FROM rests
+        UNION ALL
+        SELECT a, b, i + 1, list_reduce(
+            list_concat([[0::BIGINT]], list_transform(range(1, len(b) + 1), lambda j: [j])),
+            lambda done, j: list_append(done, CASE WHEN a[i + 1] = b[j[1]] THEN line[j[1]] + 1 ELSE greatest(line[j[1] + 1], done[len(done)]) END))
+        FROM grown WHERE i < len(a)),
+    sized AS (
+        SELECT s.*, g.line[len(s.b) + 1] AS lcs, len(common) AS c, len(common) + (common <> '')::INT + len(s.a) AS m, len(common) + (common <> '')::INT + len(s.b) AS n
+        FROM split s JOIN grown g ON g.a = s.a AND g.b = s.b AND g.i = len(s.a)),
+    scored AS (
+        SELECT x, y, CASE WHEN common <> '' AND (a = '' OR b = '') THEN 1.0::DOUBLE
+            WHEN common = '' THEN 1.0::DOUBLE - (len(a) + len(b) - 2 * lcs)::DOUBLE / (m + n)
+            ELSE greatest(1.0::DOUBLE - (len(a) + len(b) - 2 * lcs)::DOUBLE / (m + n), 1.0::DOUBLE - (m - c)::DOUBLE / (c + m), 1.0::DOUBLE - (n - c)::DOUBLE / (c + n)) END AS score
+        FROM sized),
+    best AS (
+        SELECT p_partkey, candidate, score FROM met JOIN scored USING (x, y) WHERE round(score, 3) >= 0.75
+        QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, other, candidate) = 1)
+    SELECT p_partkey, name, p_brand, p_size, candidate AS matched_name, round(score, 3) AS score, CASE WHEN candidate IS NULL THEN 'rejected' ELSE 'auto' END AS source
+    FROM marked LEFT JOIN best USING (p_partkey) WHERE is_left"""
+
+
+@query(_FUZZY)
 def fuzzy_block_match(t):
-    """Scores need the edit distance, which the SQL side lacks; checked by brute force in the tests."""
     block = ["p_brand", "p_size"]
     left = t["part"].select("p_partkey", *block, F.concat_ws(" ", "p_name", "p_type").alias("name"))
     right = t["part"].select("p_partkey", *block, F.concat(F.col("p_name"), F.lit("s "), F.left("p_type", F.lit(4))).alias("candidate"))
