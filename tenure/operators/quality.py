@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenure.operators.joins import keep_missing
@@ -45,6 +45,13 @@ def negative_amounts(sources: Sequence[tuple[DataFrame, str, str, str]], key: st
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
+def overlapping_periods(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Rows of closed periods [start, end] that begin before an earlier period of their key has ended; a NULL end never ends."""
+    earlier = Window.partitionBy(*keys).orderBy(start, F.col(end).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    open_end = F.coalesce(end, F.lit("9999-12-31").cast("date"))
+    return df.where(F.col(start).isNotNull()).withColumn("__reach", F.max(open_end).over(earlier)).where(F.col("__reach") >= F.col(start)).drop("__reach")
+
+
 def coverage(df: DataFrame, by: Sequence[str], shares: dict[str, Column]) -> DataFrame:
     """Row count and, per named condition, the share of rows that satisfy it (NULL counts as not)."""
     aggs = [F.avg(F.coalesce(c, F.lit(False)).cast("double")).alias(name) for name, c in shares.items()]

@@ -75,10 +75,11 @@ def market_value_at_spell_end(club_spell: DataFrame, valuations: DataFrame, as_o
     return found.drop("player_id", "cutoff")
 
 
-def club_elo_at_transfer(transfers: DataFrame, mapping: DataFrame, ratings: DataFrame, disjoint: bool = False) -> DataFrame:
+def club_elo_at_transfer(transfers: DataFrame, mapping: DataFrame, ratings: DataFrame, disjoint: bool = True) -> DataFrame:
     """Per transfer, the rating of both clubs on the day: containing period, else nearest start.
 
-    Each distinct (club, day) is looked up once for both roles.
+    Each distinct (club, day) is looked up once for both roles. Rating periods of one club follow each other
+    (`quality.overlapping_periods` lists those that do not); pass `disjoint=False` where they may overlap.
     """
     by_club = mapping.select(F.col("club_id").cast("long").alias("club_id"), "clubelo_club", "clubelo_country").join(
         ratings, ["clubelo_club", "clubelo_country"], "inner"

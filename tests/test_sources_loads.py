@@ -221,3 +221,10 @@ def test_files_with_another_column_order_are_refused(spark, tmp_path):
     (folder / "b.csv").write_text("country,club\nESP,B\n")
     with pytest.raises(Exception, match="CSV header"):
         readers.read_csv(spark, str(folder), ["club", "country"]).collect()
+
+
+def test_overlapping_periods(spark):
+    day = lambda d: dt.date(2024, 1, d)
+    data = [("a", day(1), day(5)), ("a", day(6), day(9)), ("a", day(9), day(10)), ("b", day(1), None), ("b", day(3), day(4)), ("c", day(1), day(20)), ("c", day(2), day(3)), ("c", day(15), day(30))]
+    df = spark.createDataFrame(data, "k string, s date, e date")
+    assert {(r["k"], r["s"].day) for r in quality.overlapping_periods(df, ["k"], "s", "e").collect()} == {("a", 9), ("b", 3), ("c", 2), ("c", 15)}

@@ -48,6 +48,7 @@ def test_fee_cell_and_type(spark):
 def test_href_title(spark):
     assert one(spark, text.href_title(F.col("x")), x="/wiki/Jo%C3%A3o_F%C3%A9lix") == "João_Félix"
     assert one(spark, text.href_title(F.col("x")), x="/wiki/A+B") == "A+B"
+    assert one(spark, text.href_title(F.col("x")), x="/wiki/100%_Wolf_%C3%A9") == "100%_Wolf_é"
     assert one(spark, text.href_title(F.col("x")), x="/wiki/100%_x") == "100%_x"
 
 
