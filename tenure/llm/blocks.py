@@ -30,6 +30,26 @@ def worker_cache(name: str, stamp: str, make: Callable[[], object]) -> object:
     return held[name][1]
 
 
+class Recent:
+    """A bounded memo: the last `limit` new entries and those of the generation before that are still in use."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key: object) -> object | None:
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: object, value: object) -> None:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most `size` bytes of text each, or a single row."""
     for batch in batches:

@@ -14,9 +14,7 @@ text and its ids through two shuffles, more than encoding costs. What a worker k
 
 from __future__ import annotations
 
-import hashlib
-import os
-from collections import OrderedDict
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tenure.llm.blocks import Words, blocks, byte_table, text_bytes, worker_cache
-from tenure.llm.prefixcounts import VOCABULARY, vocabulary_path
+from tenure.llm.blocks import Recent, Words, blocks, byte_table, text_bytes, worker_cache
+from tenure.llm.wordbpe import VOCABULARY, WordBpe
 
 #: A chunk ends where the hash of its last 16 bytes has ten zero bits, but not before 256 bytes and at 8 KB at the latest.
 WINDOW = 16
 CUT_MASK = np.uint64((1 << 10) - 1)
 LEAST, MOST = 256, 8192
-#: Encoded chunks and words that one worker keeps.
-CHUNKS_KEPT = 6_000
-WORDS_KEPT = 250_000
+#: New chunks and words of a worker after which it forgets those that it no longer meets.
+CHUNKS_KEPT = 4_000
+WORDS_KEPT = 150_000
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -84,32 +82,23 @@ def _forced(heads: np.ndarray, at: int) -> int:
     return end
 
 
-class ChunkEncoder:
-    """Encodes texts chunk by chunk; keeps chunks and words it has met."""
+class ChunkEncoder(WordBpe):
+    """Encodes texts chunk by chunk; keeps chunks and words that it has met. Ids are held as packed 32-bit integers."""
 
     def __init__(self, vocabulary: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        #: word -> (number of tokens, ids joined by a space)
-        self.words: dict[bytes, tuple[int, str]] = {}
-        #: chunk -> (head fragment, tokens inside, ids inside, tail fragment or None if there is no white space)
-        self.chunks: OrderedDict[bytes, tuple[bytes, int, str, bytes | None]] = OrderedDict()
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode the words that are not known yet."""
-        fresh = [w for w in words if w not in self.words]
-        if len(self.words) + len(fresh) > WORDS_KEPT:
-            self.words.clear()
-            fresh = words
-        for word, got in zip(fresh, self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)):
-            ids = got.ids
-            self.words[word] = (len(ids), " ".join(map(str, ids)))
-
-    def learn_chunks(self, chunks: list[bytes]) -> dict[bytes, tuple[bytes, int, str, bytes | None]]:
+        super().__init__(vocabulary)
+        self.words = Recent(WORDS_KEPT)
+        #: chunk -> (head fragment, ids inside, tail fragment or None if there is no white space)
+        self.chunks = Recent(CHUNKS_KEPT)
+
+    def word_ids(self, word: bytes) -> bytes:
+        known = self.words.get(word)
+        if known is None:
+            known = array("i", self.encode(word.decode())).tobytes()
+            self.words.put(word, known)
+        return known
+
+    def learn_chunks(self, chunks: list[bytes]) -> dict[bytes, tuple[bytes, bytes, bytes | None]]:
         """The encoding of each chunk; those that are not kept are encoded together."""
         out = {}
         inner: list[bytes] = []
@@ -119,7 +108,6 @@ class ChunkEncoder:
                 continue
             known = self.chunks.get(chunk)
             if known is not None:
-                self.chunks.move_to_end(chunk)
                 out[chunk] = known
                 continue
             first = next((i for i, c in enumerate(chunk) if c in WHITE), -1)
@@ -139,47 +127,40 @@ class ChunkEncoder:
         np.cumsum([len(b) for b in inner], out=offsets[1:])
         words = Words(np.frombuffer(b"".join(inner), np.uint8), offsets)
         distinct, which = words.distinct()
-        self.learn(distinct)
-        encoded = [self.words[w] for w in distinct]
-        strings = [e[1] for e in encoded]
-        picked = list(map(strings.__getitem__, which.tolist()))
-        sizes = np.asarray([e[0] for e in encoded], np.int64)[which] if len(which) else which
-        bounds = np.searchsorted(words.text, np.arange(len(inner) + 1))
-        totals = np.concatenate([[0], np.cumsum(sizes)])[bounds]
-        for (chunk, head, tail), a, b, n in zip(fresh, bounds[:-1].tolist(), bounds[1:].tolist(), np.diff(totals).tolist()):
-            out[chunk] = self.chunks[chunk] = (head, n, " ".join(filter(None, picked[a:b])), tail)
-        while len(self.chunks) > CHUNKS_KEPT:
-            self.chunks.popitem(last=False)
+        ids = [self.word_ids(w) for w in distinct]
+        picked = list(map(ids.__getitem__, which.tolist()))
+        bounds = np.searchsorted(words.text, np.arange(len(inner) + 1)).tolist()
+        for (chunk, head, tail), a, b in zip(fresh, bounds, bounds[1:]):
+            out[chunk] = (head, b"".join(picked[a:b]), tail)
+            self.chunks.put(chunk, out[chunk])
         return out
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, str]]:
-        """Number of tokens and the ids joined by a space, for each text of a block."""
+    def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The packed ids of each text of a block."""
         raw = data.tobytes()
         texts = []
         for start, ends in zip(offsets[:-1].tolist(), cut_points(data, offsets)):
             texts.append([raw[a:b] for a, b in zip([start, *ends], ends)])
         known = self.learn_chunks([c for chunks in texts for c in chunks])
-        # Each text as a list of finished parts and of windows over the joins, still to be encoded.
-        parts: list[list[bytes | tuple[int, str]]] = []
+        # Each text as finished parts in turn with windows over the joins, which are still to be encoded.
+        parts: list[tuple[list[bytes], list[bytes]]] = []
         for chunks in texts:
-            out: list[bytes | tuple[int, str]] = []
+            windows, inside = [], []
             window: list[bytes] = []
             for chunk in chunks:
-                head, n, ids, tail = known[chunk]
+                head, ids, tail = known[chunk]
                 window.append(head)
-                if tail is None:
-                    continue
-                out.append(b"".join(window))
-                out.append((n, ids))
-                window = [tail]
-            out.append(b"".join(window))
-            parts.append(out)
-        self.learn(list({p for out in parts for p in out if isinstance(p, bytes) and p}))
-        result = []
-        for out in parts:
-            done = [self.words[p] if isinstance(p, bytes) else p for p in out if p]
-            result.append((sum(n for n, _ in done), " ".join(ids for _, ids in done if ids)))
-        return result
+                if tail is not None:
+                    windows.append(b"".join(window))
+                    inside.append(ids)
+                    window = [tail]
+            windows.append(b"".join(window))
+            parts.append((windows, inside))
+        out = []
+        for windows, inside in parts:
+            repaired = [self.word_ids(w) if w else b"" for w in windows]
+            out.append(b"".join([x for pair in zip(repaired, [*inside, b""]) for x in pair]))
+        return out
 
 
 def _encoder(vocabulary: str) -> ChunkEncoder:
@@ -189,11 +170,10 @@ def _encoder(vocabulary: str) -> ChunkEncoder:
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, column: str) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(vocabulary)
     for block in blocks(batches, column):
-        got = encoder.encode(*text_bytes(block.column(column)))
-        lists = [np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32) for _, ids in got]
-        ends = np.cumsum([0, *map(len, lists)])
-        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
-        yield pa.RecordBatch.from_arrays([*block.columns, pa.array([n for n, _ in got], pa.int64()), ids], names=[*block.schema.names, "n_tokens", "token_ids"])
+        packed = encoder.encode_texts(*text_bytes(block.column(column)))
+        sizes = [len(p) // 4 for p in packed]
+        ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+        yield pa.RecordBatch.from_arrays([*block.columns, pa.array(sizes, pa.int64()), ids], names=[*block.schema.names, "n_tokens", "token_ids"])
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text") -> DataFrame:
