@@ -19,15 +19,15 @@ _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def worker_cache(name: str, stamp: str, make: Callable[[], object]) -> object:
-    """A value made once per worker process; another stamp replaces it.
+    """A value made once per worker process. A worker holds one: another name or stamp replaces it.
 
     Functions travel by value, so module globals do not last from task to task.
     """
     held = sys.__dict__.setdefault("_tenure_llm", {})
-    if held.get(name, ("", None))[0] != stamp:
-        held.pop(name, None)
-        held[name] = (stamp, make())
-    return held[name][1]
+    if (name, stamp) not in held:
+        held.clear()
+        held[name, stamp] = make()
+    return held[name, stamp]
 
 
 class Recent:

@@ -9,6 +9,7 @@ exact, in bits. The shortest code wins; the score is its share among 2 ** -bits
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,48 +53,53 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["lang", "gram", "n"])
 
 
-def gram_counts(sample: DataFrame) -> list[tuple[str, int, int]]:
-    """(lang, gram, count): the nodes of the trees. Bounded by the sample, hence collected."""
+def gram_counts(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The languages, and (language, gram, count) of the nodes of their trees. Bounded by the sample, hence collected."""
     counted = sample.mapInArrow(_gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return [tuple(r) for r in counted.orderBy("lang", "gram").collect()]
+    found = counted.orderBy("lang", "gram").toArrow()
+    languages = sorted(set(found.column("lang").to_pylist()))
+    place = {lang: i for i, lang in enumerate(languages)}
+    return languages, np.stack([np.asarray([place[x] for x in found.column("lang").to_pylist()], np.int64), found.column("gram").to_numpy(), found.column("n").to_numpy()])
 
 
 class Trees:
     """Frozen code lengths of all languages: one row of bits per (context, byte)."""
 
-    def __init__(self, counts: list[tuple[str, int, int]]) -> None:
-        self.languages = sorted({c[0] for c in counts})
-        place = {lang: i for i, lang in enumerate(self.languages)}
-        seen = sorted({g & 0xFF for _, g, _ in counts if g >> 32 == 1})
+    def __init__(self, languages: list[str], counts: np.ndarray) -> None:
+        self.languages = languages
+        grams = counts[1]
+        seen = np.unique(grams[grams >> 32 == 1] & 0xFF).tolist()
         # Bytes that no tree has seen share symbol 0.
         self.symbol = np.zeros(256, np.int64)
         self.symbol[seen] = np.arange(1, len(seen) + 1)
         self.width = len(seen) + 1
         n = len(self.languages)
         nodes: list[dict[int, list[dict[int, int]]]] = [{} for _ in range(ORDER + 1)]
-        for lang, gram, count in counts:
+        for lang, gram, count in zip(*counts.tolist()):
             size, code = gram >> 32, gram & 0xFFFFFFFF
             node = nodes[size - 1].setdefault(code >> 8, [{} for _ in range(n)])
-            node[place[lang]][int(self.symbol[code & 0xFF])] = count
+            node[lang][int(self.symbol[code & 0xFF])] = count
         # Row 0 is the empty context; every context of any language has a row, filled from shorter ones.
         self.rows: list[dict[int, int]] = [{} for _ in range(ORDER + 1)]
-        bits: list[np.ndarray] = []
+        self.bits = np.empty((sum(map(len, nodes)), self.width, n), np.float32)
+        made = 0
         for order in range(ORDER + 1):
             for context in sorted(nodes[order]):
                 if order == 0:
                     base = np.full((self.width, n), 8.0)
                 else:
-                    base = bits[self._row(context & ((1 << 8 * (order - 1)) - 1), order - 1)]
-                row = base.copy()
+                    base = self.bits[self._row(context & ((1 << 8 * (order - 1)) - 1), order - 1)]
+                row = base.astype(np.float64)
                 for lang, follow in enumerate(nodes[order][context]):
                     if follow:
                         total = sum(follow.values()) + len(follow)
                         row[:, lang] -= np.log2(len(follow) / total)
                         at = list(follow)
                         row[at, lang] = -np.log2(np.asarray(list(follow.values())) / total)
-                self.rows[order][context] = len(bits)
-                bits.append(row)
-        self.bits = np.concatenate(bits).astype(np.float32)
+                self.rows[order][context] = made
+                self.bits[made] = row
+                made += 1
+        self.bits = self.bits.reshape(-1, n)
         # The row of each context of three symbols, found by its last three symbols.
         w = self.width
         back = {int(s): b for b, s in enumerate(self.symbol) if s}
@@ -143,8 +149,8 @@ class Trees:
         return out
 
 
-def _predicted(batches: Iterator[pa.RecordBatch], counts: list, stamp: str, column: str) -> Iterator[pa.RecordBatch]:
-    trees: Trees | None = worker_cache("trees", stamp, lambda: Trees(counts) if counts else None)
+def _predicted(batches: Iterator[pa.RecordBatch], languages: list[str], counts: np.ndarray, stamp: str, column: str) -> Iterator[pa.RecordBatch]:
+    trees: Trees | None = worker_cache("trees", stamp, lambda: Trees(languages, counts) if languages else None)
     for block in blocks(batches, column):
         letters = block.column("_letters").to_numpy(zero_copy_only=False)
         if trees is None:
@@ -168,12 +174,12 @@ def identify(docs: DataFrame, sample: DataFrame, column: str = "text") -> DataFr
     everything if the sample is empty. Equal code lengths go to the first language by name. Clashing columns
     are replaced; every row is judged by itself, so repeated rows need no rule.
     """
-    counts = gram_counts(sample)
-    stamp = str(hash(tuple(counts)))
+    languages, counts = gram_counts(sample)
+    stamp = hashlib.sha256(counts.tobytes()).hexdigest() + ",".join(languages)
     kept = docs.drop("lang_pred", "score", "code_bits", "_letters")
     schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("code_bits", ArrayType(DoubleType()))])
     letters = F.coalesce(F.col(column).rlike(r"\p{L}"), F.lit(False))
-    return kept.withColumn("_letters", letters).mapInArrow(lambda batches: _predicted(batches, counts, stamp, column), schema)
+    return kept.withColumn("_letters", letters).mapInArrow(lambda batches: _predicted(batches, languages, counts, stamp, column), schema)
 
 
 def held_out(doc_id: str = "doc_id"):
