@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -87,6 +88,8 @@ class ChunkEncoder(WordBpe):
 
     def __init__(self, vocabulary: str) -> None:
         super().__init__(vocabulary)
+        tokens = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.names = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.string())
         self.words = Recent(WORDS_KEPT)
         #: chunk -> (head fragment, ids inside, tail fragment or None if there is no white space)
         self.chunks = Recent(CHUNKS_KEPT)
@@ -187,13 +190,30 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text")
     return kept.mapInArrow(lambda batches: _encoded(batches, vocabulary, column), schema)
 
 
+def _joined(lists: pa.ListArray, names: pa.Array) -> pa.Array | None:
+    """The tokens of each id list joined by spaces, as the library does without a decoder; None if an id is unknown."""
+    ids = lists.flatten()
+    if len(ids) and not 0 <= pc.min(ids).as_py() <= pc.max(ids).as_py() < len(names):
+        return None
+    tokens = names.take(ids)
+    if tokens.null_count:
+        return None
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens), " ")
+    return pc.if_else(lists.is_valid(), joined, pa.scalar(None, pa.string()))
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: str, column: str) -> Iterator[pa.RecordBatch]:
-    tokenizer = _encoder(vocabulary).tokenizer
+    encoder = _encoder(vocabulary)
+    tokenizer = encoder.tokenizer
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            texts = [None if ids is None else tokenizer.decode(ids, skip_special_tokens=False) for ids in part.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
+            texts = _joined(part.column(column), encoder.names) if tokenizer.decoder is None else None
+            if texts is None:
+                lists = part.column(column).to_pylist()
+                texts = pa.array([None if ids is None else tokenizer.decode(ids, skip_special_tokens=False) for ids in lists], pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
 
 
 def decode(ids: DataFrame, vocabulary: str = VOCABULARY, column: str = "token_ids") -> DataFrame:

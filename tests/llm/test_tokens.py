@@ -51,8 +51,10 @@ def test_encode_keeps_columns_and_takes_empty_tables(spark, make_docs):
     assert chunkbpe.encode(docs).columns == [*docs.columns, "n_tokens", "token_ids"]
     assert [r.token_ids for r in chunkbpe.encode(docs).collect()] == [[320, 321]] * 2
     assert chunkbpe.op1_chunk_bpe(docs.limit(0)).collect() == []
-    ids = spark.createDataFrame([([320],), (None,), ([],)], "token_ids array<int>")
-    assert [r.decoded for r in chunkbpe.decode(ids).collect()] == ["a</w>", None, ""]
+    ids = spark.createDataFrame([([320],), (None,), ([],), ([49407, 320],)], "token_ids array<int>")
+    assert [r.decoded for r in chunkbpe.decode(ids).collect()] == ["a</w>", None, "", "<|endoftext|> a</w>"]
+    unknown = spark.createDataFrame([([320, 99999, 321],)], "token_ids array<int>")
+    assert chunkbpe.decode(unknown).first().decoded == "a</w> b</w>"
 
 
 def test_counts_at_every_prefix(make_docs, library, rng):
