@@ -82,6 +82,17 @@ def test_budget_and_limit(make_docs, library, rng):
     assert prefixcounts.op4_token_counts(make_docs([])).collect() == []
 
 
+def test_words_of_more_tokens_than_16_bits(make_docs, library, rng):
+    kanji = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(30_000))
+    texts = ["<|endoftext|>" * 40_000, kanji + chr(0xF900) + " a", "<|endoftext|>" * 40_000 + " a b"]
+    wholes = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert min(wholes) > 32_767
+    rows = {r.doc_id: r for r in prefixcounts.prefix_counts(make_docs(texts).select("doc_id", "text")).collect()}
+    assert [rows[i].n_tokens for i in range(3)] == wholes
+    assert [int(prefixcounts.prefix_table(rows[i].steps, len(t))[-1]) for i, t in enumerate(texts)] == wholes
+    assert [r.n_tokens for r in prefixcounts.op4_token_counts(make_docs(texts)).orderBy("doc_id").collect()] == wholes
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="abcdething'sABZéñß.,!1 ", min_size=1, max_size=70).map(lambda s: s.replace(" ", "")).filter(bool))
 def test_word_tables(counter, word):
