@@ -136,6 +136,47 @@ def test_repeated_strings(make_docs, rng, monkeypatch, hot):
     assert got == brute_removed(list(zip(ids, texts)))
 
 
+@pytest.mark.parametrize("hot", [20_000, 4])
+def test_runs_and_many_copies_in_a_text(make_docs, rng, monkeypatch, hot):
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    line = prose(rng, 30)
+    odd = prose(rng, 30)
+    period = "".join(rng.choice("abcd") for _ in range(44))
+    texts = ["-" * 900 + odd, "=" * 70 + "-" * 700 + odd[5:], "ab" * 400, "x" + "ab" * 300 + "y" + "ba" * 100, period * 20, period[9:] * 7 + line, (line + " ") * 30, (line + "-" * 60) * 20, "-" * 49, "-" * 50 + "=" * 90, "-" * 2000]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    got = {r[0]: tuple(r)[1:] for r in suffixes.op7_suffix_dedup(make_docs(texts, ids=ids).repartition(3)).collect()}
+    assert got == brute_removed(list(zip(ids, texts)))
+
+
+def largest_group(monkeypatch, texts, docs):
+    """Most stretches of one anchor that meet in a sort, and the texts that lose bytes."""
+    sizes = []
+    sort = suffixes._sorted_spans
+
+    def watched(sent, out):
+        sizes.append(sent.groupBy("h").count().agg({"count": "max"}).first()[0] or 0)
+        return sort(sent, out)
+
+    monkeypatch.setattr(suffixes, "_sorted_spans", watched)
+    return {r.doc_id: r.n_removed for r in suffixes.op7_suffix_dedup(docs).collect()}, max(sizes)
+
+
+def test_a_run_of_one_byte_is_one_stretch(make_docs, monkeypatch):
+    texts = ["-" * 100_000, "-" * 60_000]
+    removed, size = largest_group(monkeypatch, texts, make_docs(texts))
+    assert removed == {0: 0, 1: 60_000} and size <= 10
+
+
+def test_hot_counts_stretches(make_docs, rng, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 40)
+    line = prose(rng, 30)
+    texts = [" ".join(f"{line} {rng.random()}" for _ in range(30)) for _ in range(3)]
+    removed, size = largest_group(monkeypatch, texts, make_docs(texts))
+    assert size <= 40
+    assert removed == {i: brute_removed(list(enumerate(texts)))[i][1] for i in range(3)}
+
+
 def test_repeated_rows_and_null_ids(make_docs, rng):
     text = prose(rng, 40)
     docs = make_docs([text, text, text, text], ids=[4, 4, None, 9])
