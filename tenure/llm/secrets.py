@@ -4,12 +4,15 @@ The patterns find assignments, access keys and long hexadecimal strings. They al
 samples: what they find are random strings, the words of documents without a find are ordinary identifiers.
 Two first-order Markov models over characters are counted on bounded samples of both. A long run of key
 characters that no pattern covers is a secret if the mean log-likelihood ratio of its transitions, random
-against ordinary, exceeds a threshold. Everything is column expressions; the models travel as one literal.
+against ordinary, exceeds a threshold, which grows for short strings. A run that is none is cut at its separators,
+and neighbouring pieces that look more random than ordinary are judged together, so that a key is also found in a
+path, a URL or a chain of assignments. Everything is column expressions; the models travel as one literal.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,15 +29,19 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 ASSIGN_LEAST = 8
 #: Runs of key characters that the models judge; the lookbehind keeps the scan linear in long runs.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+#: Pieces of a run; separators stand at the head of the piece behind them.
+PIECE = r"[/_=-]+[A-Za-z0-9+]*|[A-Za-z0-9+]+"
 #: Words that the model of ordinary strings learns from: shorter than those that are judged.
-IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_-]{6,19}(?![A-Za-z0-9+/_=-])"
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_-]{6,15}(?![A-Za-z0-9+/_=-])"
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=.-"
 STATES = len(ALPHABET) + 1
 #: Documents of each label that the models are fitted on at most, drawn by a hash of id and text.
 SAMPLE_MOST = 2000
 THRESHOLD = 0.5
+#: Shortest string that is judged; under SURE characters each missing one raises the threshold by STEEP.
+LEAST, SURE, STEEP = 16, 20, 0.1
 SMOOTHING = 10
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
@@ -110,12 +117,54 @@ def train(docs: DataFrame, most: int = SAMPLE_MOST) -> list[float] | None:
     return [round(r - p, 4) for random_line, plain_line in zip(*logs) for r, p in zip(random_line, plain_line)]
 
 
-def mean_ratio(value: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio of the transitions of a string."""
+def _total_ratio(value: Column, ratios: list[float]) -> Column:
+    """Sum of the log-likelihood ratios of the transitions of a string."""
     table = fixed_array(ratios, "double")
     states = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     steps = F.zip_with(F.slice(states, 1, F.size(states) - 1), F.slice(states, 2, F.size(states) - 1), lambda a, b: F.element_at(table, a * STATES + b + 1))
-    return F.aggregate(steps, F.lit(0.0), lambda x, y: x + y) / F.greatest(F.size(steps), F.lit(1))
+    return F.aggregate(steps, F.lit(0.0), lambda x, y: x + y)
+
+
+def mean_ratio(value: Column, ratios: list[float]) -> Column:
+    """Mean log-likelihood ratio of the transitions of a string."""
+    return _total_ratio(value, ratios) / F.greatest(F.length(value) - 1, F.lit(1))
+
+
+def _is_secret(value: Column, mean: Column, threshold: float) -> Column:
+    """Whether a string of this mean ratio is a secret. A short number is none."""
+    short = F.greatest(F.lit(SURE) - F.length(value), F.lit(0))
+    return (F.length(value) >= LEAST) & (mean > threshold + STEEP * short) & ((short == 0) | value.rlike("[A-Za-z]"))
+
+
+def piece_spans(run: Column, ratios: list[float], threshold: float, is_free: Callable[[Column, Column], Column]) -> Column:
+    """array<struct<start, end, value>>: the secrets between the separators of a run, in its own positions.
+
+    Neighbouring free pieces of positive ratio make a chain, which is judged without the separators at its head.
+    """
+
+    def piece(m: Column) -> Column:
+        word = F.regexp_replace(m["value"], "^[/_=-]+", "")
+        head = F.length(m["value"]) - F.length(word)
+        before = F.when(m["start"] > 0, F.substring(run, m["start"], head + 2)).otherwise(F.substring(run, F.lit(1), head + 1))
+        return F.struct((m["start"] + head).alias("start"), m["end"].alias("end"), _total_ratio(before, ratios).alias("link"), _total_ratio(word, ratios).alias("inner"))
+
+    # A last piece of no weight closes the last chain.
+    closing = F.array(F.struct(F.length(run).alias("start"), F.length(run).alias("end"), F.lit(-1.0).alias("link"), F.lit(0.0).alias("inner")))
+    pieces = F.concat(F.transform(match_spans(run, PIECE), piece), closing)
+    empty = F.array().cast("array<struct<start:int,end:int,total:double>>")
+    chain = lambda start, end, total: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), total.cast("double").alias("total"))
+
+    def add(done: Column, p: Column) -> Column:
+        now = done["now"]
+        random, begun = (p["link"] + p["inner"] > 0) & is_free(p["start"], p["end"]), now["start"] >= 0
+        after = F.when(~random, chain(F.lit(-1), F.lit(-1), F.lit(0.0))).when(begun, chain(now["start"], p["end"], now["total"] + p["link"] + p["inner"])).otherwise(chain(p["start"], p["end"], p["inner"]))
+        return F.struct(after.alias("now"), F.when(begun & ~random, F.concat(done["chains"], F.array(now))).otherwise(done["chains"]).alias("chains"))
+
+    start = F.struct(chain(F.lit(-1), F.lit(-1), F.lit(0.0)).alias("now"), empty.alias("chains"))
+    chains = F.aggregate(pieces, start, add, lambda done: done["chains"])
+    valued = F.transform(chains, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.substring(run, c["start"] + 1, c["end"] - c["start"]).alias("value"), c["total"].alias("total")))
+    judged = F.filter(valued, lambda c: _is_secret(c["value"], c["total"] / F.greatest(c["end"] - c["start"] - 1, F.lit(1)), threshold))
+    return F.transform(judged, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))
 
 
 def secret_scan(docs: DataFrame, ratios: list[float] | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -130,8 +179,14 @@ def secret_scan(docs: DataFrame, ratios: list[float] | None, threshold: float =
     found = docs.withColumn("secret_spans", base_spans(text))
     if ratios is None:
         return found
-    judged = F.filter(match_spans(text, CANDIDATE), lambda s: mean_ratio(s["value"], ratios) > threshold)
-    free = F.filter(_as_spans(judged, "markov", 3), lambda s: ~F.exists("secret_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    is_free = lambda start, end: ~F.exists("secret_spans", lambda b: (b["start"] < end) & (start < b["end"]))
+
+    def judged(s: Column) -> Column:
+        whole = is_free(s["start"], s["end"]) & _is_secret(s["value"], mean_ratio(s["value"], ratios), threshold)
+        inner = F.transform(piece_spans(s["value"], ratios, threshold, lambda a, b: is_free(s["start"] + a, s["start"] + b)), lambda p: F.struct((s["start"] + p["start"]).alias("start"), (s["start"] + p["end"]).alias("end"), p["value"].alias("value")))
+        return F.when(whole, F.array(s)).when(s["value"].rlike("[/_=-]"), inner).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
+
+    free = _as_spans(F.flatten(F.transform(match_spans(text, CANDIDATE), judged)), "markov", 3)
     return found.withColumn("secret_spans", F.sort_array(F.concat("secret_spans", _only_if(text.rlike(CANDIDATE), free))))
 
 

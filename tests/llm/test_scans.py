@@ -50,6 +50,23 @@ def test_models_tell_random_from_ordinary(make_docs, spark, rng):
     assert spans == {900: "markov:4:24", 901: ""}
 
 
+def test_keys_inside_paths_and_chains(make_docs, rng):
+    docs = make_docs([*secret_texts(rng), *(prose(rng, 60) for _ in range(40))])
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(signs) for _ in range(24)) for _ in range(100)]
+    frames = ["{}", "tolis/mokare/shendurti/{}", "baren/lismo/kashentowol/durtibagra/molisren/tibaren/{}/rentoba", "moka=torenlis_wolgra={}", "shendur-tolis-{}"]
+    texts = [f"see {frame.format(k)} there" for frame in frames for k in keys]
+    plain = ["tolis/mokare/shendurti/renlisba/wolgra", "moka=torenlis_wolgra=shendurtolis", "renlismokashendur", "4737097684299439"]
+    ratios = secrets.train(docs)
+    done = secrets.redact(secrets.secret_scan(make_docs(texts + plain), ratios)).orderBy("doc_id").collect()
+    for i, frame in enumerate(frames):
+        rows = done[100 * i : 100 * i + 100]
+        assert sum(k not in r.text for k, r in zip(keys, rows)) >= 85, frame
+    assert [r.text for r in done[500:]] == plain
+    short = make_docs(["see x8Kq2ZvT9mW4pRb7 there", f"AKIA{'Q7' * 9}/{keys[0]}{keys[1]}"])
+    assert [r.text for r in secrets.redact(secrets.secret_scan(short, ratios)).orderBy("doc_id").collect()] == ["see [SECRET] there", "[SECRET]/[SECRET]"]
+
+
 def test_without_examples_and_empty(make_docs, rng):
     docs = make_docs([None, "", prose(rng, 30)])
     assert secrets.train(docs) is None
