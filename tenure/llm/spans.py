@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def match_spans(text: Column, pattern: str) -> Column:
+def match_spans(text: Column, pattern: str | Column) -> Column:
     """array<struct<start, end, value>>: the leftmost non-overlapping matches of `pattern`, in code points.
 
     `pattern` must not match the empty string. The pieces between the matches give the positions.

@@ -1,7 +1,8 @@
 """PII (operator 10): detected entities get keyed surrogates of their own type and format.
 
 Entities are found by one pattern: e-mail addresses, card numbers, social security numbers, phone numbers,
-IPv4 addresses, and names behind a title that tells the gender. Each entity has a canonical form (letters in
+IPv4 addresses, and names behind a title that tells the gender. The words of such names are then looked up in the rest
+of the same text, where they stand without a title. Each entity has a canonical form (letters in
 lower case, digits without separators, each name by itself), and each distinct canonical form gets one
 surrogate, a keyed hash laid into the same kind of form: digits for digits, Latin, Greek or Cyrillic letters
 for letters of that script, a given name of the same gender and script. Mentions of one entity share its
@@ -24,15 +25,26 @@ from tenure.llm.tables import written
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 CARD = r"(?<![\d+])\d(?:[ -]?\d){12,18}(?![\d])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+#: With a country code; from a trunk zero on, but no date; in groups of 3-3-4 or in one; Spanish groups of nine digits.
+PHONES = [
+    r"(?<![\w+])\+\d(?:[ ./()-]{0,2}\d){7,14}(?!\d)",
+    r"(?<![\w+.-])(?!\d{2}([./-])\d{2}\1(?:19|20)\d{2}(?!\d))\(?0\d(?:[ ./()-]{0,2}\d){7,10}(?!\d)",
+    r"(?<![\w+])(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    r"(?<![\w+.-])[2-9]\d{2}[2-9]\d{6}(?![\w-]|\.\d)",
+    r"(?<![\w+.-])[6-9]\d{2}(?:[ .-]\d{3}[ .-]\d{3}|[ .-]\d{2}[ .-]\d{2}[ .-]\d{2}|\d{6})(?![\w-]|[ .]\d)",
+]
+PHONE = "|".join(PHONES)
+#: Country codes of the languages that write numbers with or without them.
+CODES = r"^\+(?:1|33|34|44|49)"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"
 MALE_TITLES = ["Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Sra", "Señorita", "Госпожа", "Κυρία"]
 TITLES = MALE_TITLES + FEMALE_TITLES
 MALE, FEMALE = (f"(?:{'|'.join(t)})" for t in (MALE_TITLES, FEMALE_TITLES))
-WORD = r"\p{Lu}[\p{L}'-]{1,30}"
-NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? {WORD}(?: {WORD})?"
-PATTERN = "|".join([EMAIL, SSN, CARD, PHONE, IP, NAME])
+#: A possessive ending is no part of a name.
+WORD = r"\p{Lu}(?:(?!'s(?!\p{L}))[\p{L}'-]){1,30}"
+NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? {WORD}(?: {WORD}){{0,3}}"
+PATTERN = "|".join([EMAIL, SSN, CARD, IP, PHONE, NAME])
 KINDS = ["email", "ssn", "card", "phone", "ip", "name"]
 
 # Given names by script and gender.
@@ -71,21 +83,40 @@ def script_of(value: Column) -> Column:
     return F.when(value.rlike(r"\p{IsGreek}"), "greek").when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
 
-def _mentions(value: Column) -> Column:
-    """The entities in one match: a name gives one per word behind its title, all else gives one."""
+def _mentions(value: Column, names: Column) -> Column:
+    """The entities in one match: a name gives one per word behind its title, all else gives one.
+
+    A name without a title is one of `names`, the entities of the names of the text.
+    """
     kind = kind_of(value)
     words = F.split(value, " ")
     gender = F.when(value.rlike(rf"^{FEMALE}(?!\p{{L}})"), "f").otherwise("m")
     n = F.size(words)
-    given = lambda w, i: (n == 3) & (i == 1)
-    names = F.filter(
+    given = lambda w, i: (i > 0) & (i < n - 1)
+    titled = F.filter(
         F.transform(words, lambda w, i: F.struct(F.when(i == 0, "title").when(given(w, i), F.concat(F.lit("given-"), gender)).otherwise("surname").alias("kind"), F.when(i == 0, w).otherwise(F.lower(w)).alias("canonical"), w.alias("value"))),
         lambda m: m["value"] != "",
     )
-    # A phone number is known by its last ten digits: the country code may be left out.
-    canonical = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "phone", F.right(_digits(value), F.lit(10))).otherwise(_digits(value))
+    bare = F.transform(F.slice(F.filter(names, lambda m: m["canonical"] == F.lower(value)), 1, 1), lambda m: F.struct(m["kind"], m["canonical"], value.alias("value")))
+    # A phone number is known by its last ten digits behind the country code or trunk zero, which may be left out.
+    number = F.regexp_replace(_digits(F.regexp_replace(value, CODES, "")), "^0+(?=\\d{8})", "")
+    canonical = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).when(kind == "phone", F.right(number, F.lit(10))).otherwise(_digits(value))
     single = F.array(F.struct(kind.alias("kind"), canonical.alias("canonical"), value.alias("value")))
-    return F.when(kind == "name", names.cast(_MENTIONS)).otherwise(single.cast(_MENTIONS))
+    return F.when((kind == "name") & (n == 1), bare.cast(_MENTIONS)).when(kind == "name", titled.cast(_MENTIONS)).otherwise(single.cast(_MENTIONS))
+
+
+def _text_names(spans: Column) -> Column:
+    """The distinct entities of the names among the matches of a text."""
+    titled = F.flatten(F.transform(F.filter(spans, lambda s: kind_of(s["value"]) == "name"), lambda s: _mentions(s["value"], F.array().cast(_MENTIONS))))
+    return F.array_distinct(F.filter(titled, lambda m: m["kind"] != "title"))
+
+
+def _with_names(names: Column) -> Column:
+    """PATTERN and the words of `names`, as they stand, capitalised or in upper case, but not before an at sign."""
+    forms = F.array_distinct(F.flatten(F.transform(names, lambda m: F.array(m["value"], F.initcap(m["value"]), F.upper(m["value"])))))
+    # Longer ones first: of two names with one beginning the whole word is wanted.
+    ordered = F.reverse(F.array_sort(F.transform(forms, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
+    return F.concat(F.lit(PATTERN + r"|(?<![\p{L}])(?=\p{Lu})(?:"), F.array_join(F.transform(ordered, lambda x: x["w"]), "|"), F.lit(r")(?![\p{L}]|[A-Za-z0-9._%+-]{0,64}@)"))
 
 
 def _draw(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
@@ -200,10 +231,11 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     has = cue & text.rlike(PATTERN)
     counts = "map<string,long>"
     clean = docs.filter(~has).withColumn("pii_counts", F.create_map().cast(counts))
-    spans = match_spans(text, PATTERN)
+    found = docs.filter(has).withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", once(match_spans(text, PATTERN))).withColumn("_names", once(_text_names(F.col("_spans"))))
+    spans = F.when(F.size("_names") == 0, F.col("_spans")).otherwise(match_spans(text, _with_names(F.col("_names"))))
     # The numbers of the rows must not change once they are given out, hence the written copy.
-    marked = written(docs.filter(has).withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", spans))
-    mentions = marked.select("_row", F.posexplode("_spans").alias("_at", "_span")).select("_row", "_at", F.posexplode(_mentions(F.col("_span.value"))).alias("_part", "_m")).select("_row", "_at", "_part", "_m.*")
+    marked = written(found.withColumn("_spans", spans))
+    mentions = marked.select("_row", "_names", F.posexplode("_spans").alias("_at", "_span")).select("_row", "_at", F.posexplode(_mentions(F.col("_span.value"), F.col("_names"))).alias("_part", "_m")).select("_row", "_at", "_part", "_m.*")
     table = written(surrogate_table(mentions.select("kind", "canonical").distinct(), key))
     laid = mentions.join(table, ["kind", "canonical"]).select("_row", "_at", "_part", "kind", lay(F.col("kind"), F.col("value"), F.col("surrogate")).alias("_new"))
     # A match of several entities (title, given name, surname) is put together with spaces again.

@@ -199,6 +199,34 @@ def test_surrogates_are_consistent_and_of_their_type(make_docs):
     assert (got[n].n_email, got[n].n_phone, got[n + 1].n_card, got[n + 1].n_ip, got[n + 1].n_ssn, got[n + 2].n_name) == (2, 2, 2, 1, 1, 6)
 
 
+def test_names_without_title_and_of_several_words(make_docs):
+    texts = [
+        "Mr John Smith came. Smith said that John's car and Smith's dog and SMITH left; Smithson and smith stayed.",
+        "Mr John Michael Smith left, and Michael too.", "Smith is not named here.", "Frau Anna Müller: Müller@web.de, Müller.",
+    ]
+    got = surrogate_texts(make_docs(texts))
+    given, sur, again, first, third, loud = re.fullmatch(r"Mr (\S+) (\S+) came\. (\S+) said that (\S+)'s car and (\S+)'s dog and (\S+) left; Smithson and smith stayed\.", got[0].text).groups()
+    assert sur == again == third == loud.capitalize() != "Smith" and given == first != "John" and loud.isupper()
+    assert got[0].n_name == 5
+    one, middle, last, alone = re.fullmatch(r"Mr (\S+) (\S+) (\S+) left, and (\S+) too\.", got[1].text).groups()
+    assert last == sur and one == given and middle == alone != "Michael" and middle.split("-")[0].lower() in surrogates.GIVEN["latin", "m"]
+    assert got[2].text == texts[2] and "Müller" not in got[3].text.replace("Müller@", "")
+
+
+def test_phone_formats(make_docs):
+    numbers = ["+33 1 42 68 53 00", "01 42 68 53 00", "01.42.68.53.00", "+49 170 1234567", "0170 1234567", "030 12345678", "030/12345678", "+34 912 345 678", "912 345 678", "912345678", "612 34 56 78", "+44 20 7946 0958", "020 7946 0958", "(020) 7946 0958", "3865553733", "386-555-3733", "+1 (386) 555-3733", "+13865553733"]
+    others = ["on 01.02.2024 10 h", "2024-01-02", "at 1700000000", "61.131.143.218", "1.234.567,89", "123-45-6789", "version 10.20.30"]
+    got = surrogate_texts(make_docs([f"call {x} now" for x in numbers] + others))
+    new = [re.fullmatch(r"call (.*) now", got[i].text)[1] for i in range(len(numbers))]
+    for i, (old, x) in enumerate(zip(numbers, new)):
+        assert got[i].n_phone == got[i].n_pii == 1 and x != old, old
+        assert re.sub(r"\d", "9", x) == re.sub(r"\d", "9", old)
+    key = {n: re.sub(r"\D", "", x) for n, x in zip(numbers, new)}
+    for a, b, k in [(0, 1, 9), (1, 2, 9), (3, 4, 10), (5, 6, 10), (7, 8, 9), (8, 9, 9), (11, 12, 10), (12, 13, 10), (14, 15, 10), (15, 16, 10), (16, 17, 10)]:
+        assert key[numbers[a]][-k:] == key[numbers[b]][-k:]
+    assert [got[len(numbers) + i].n_phone for i in range(len(others))] == [0] * len(others)
+
+
 def test_surrogates_are_distinct(spark):
     entities = [("ip", f"{a}.{b}.1.1") for a in range(1, 9) for b in range(1, 9)] + [("given-m", f"name{k}") for k in range(60)] + [("phone", f"{k}") for k in range(8)]
     table = surrogates.surrogate_table(spark.createDataFrame(entities, "kind string, canonical string"), "key").collect()
