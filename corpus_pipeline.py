@@ -43,8 +43,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add n_tokens and token_ids."""
-    return chunkbpe.encode(docs)
+    """Add n_tokens, token_ids and the digest of the text that the ids decode to."""
+    both = chunkbpe.decode(chunkbpe.encode(docs))
+    return both.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [
@@ -52,7 +53,7 @@ STAGES = [
     ("MinHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_benchmark_leaks),
     ("secret scans", mask_secrets),
-    ("BPE encoding", encode_tokens),
+    ("BPE encoding and decoding", encode_tokens),
 ]
 #: No stage can be said in SQL (trained trees, sketches, models, a tokenizer): the tests run brute-force versions.
 ORACLE_SQL = None

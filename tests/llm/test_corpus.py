@@ -184,6 +184,19 @@ def test_pipeline_stages(spark, stage_outputs):
     assert texts[5] == texts[4] and all(r.n_tokens == len(r.token_ids) for r in stage_outputs[5].collect())
 
 
+def test_last_stage_decodes(spark, make_docs):
+    import hashlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for r in corpus_pipeline.encode_tokens(spark, make_docs([*ODD[:8], "Don't stop, 2024!"]), SMALL).collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.token_ids == ids
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_pipeline_run_equals_its_stages(spark, stage_outputs):
     got = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(str, got.collect())) == sorted(map(str, stage_outputs[-1].collect()))
