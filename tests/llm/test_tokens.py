@@ -82,6 +82,19 @@ def test_budget_and_limit(make_docs, library, rng):
     assert prefixcounts.op4_token_counts(make_docs([])).collect() == []
 
 
+def test_prefixes_and_budget_of_words_that_the_library_counts(make_docs, library, rng):
+    kanji = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(3000))
+    texts = [*ODD[6:8], "a b " + kanji + chr(0xF900) + " c d"]
+    rows = {r.doc_id: r for r in prefixcounts.prefix_counts(make_docs(texts).select("doc_id", "text")).collect()}
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    for i, text in enumerate(texts[:2]):
+        assert prefixcounts.prefix_table(rows[i].steps, len(text)).tolist() == [count(text[:k]) for k in range(len(text) + 1)]
+    table = prefixcounts.prefix_table(rows[2].steps, len(texts[2]))
+    assert prefixcounts.fit_budget(table, 100) == 4
+    assert prefixcounts.fit_budget(table, count(texts[2]) - 1) == len(texts[2]) - 1
+    assert prefixcounts.fit_budget(table, count(texts[2])) == len(texts[2])
+
+
 def test_words_of_more_tokens_than_16_bits(make_docs, library, rng):
     kanji = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(30_000))
     texts = ["<|endoftext|>" * 40_000, kanji + chr(0xF900) + " a", "<|endoftext|>" * 40_000 + " a b"]
