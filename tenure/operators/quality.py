@@ -62,7 +62,8 @@ def coverage(df: DataFrame, by: Sequence[str], shares: dict[str, Column]) -> Dat
 class Checks:
     """The checks of one table.
 
-    `relationships` lists (foreign key, parent table, parent key, severity).
+    `relationships` lists (foreign key, parent table, parent key, severity), `periods` (keys, start, end) of periods
+    that must not overlap.
     """
 
     unique: list[str] = field(default_factory=list)
@@ -71,6 +72,7 @@ class Checks:
     relationships: list[tuple[str, str, str, str]] = field(default_factory=list)
     combinations: list[list[str]] = field(default_factory=list)
     non_negative: list[str] = field(default_factory=list)
+    periods: list[tuple[list[str], str, str]] = field(default_factory=list)
 
 
 def run_checks(tables: dict[str, DataFrame], specs: dict[str, Checks]) -> DataFrame:
@@ -104,6 +106,8 @@ def run_checks(tables: dict[str, DataFrame], specs: dict[str, Checks]) -> DataFr
             results.append(result(not_unique(df, c), table, "unique", c, "error"))
         for cs in spec.combinations:
             results.append(result(not_unique_combination(df, cs), table, "unique_combination", ",".join(cs), "error"))
+        for keys, start, end in spec.periods:
+            results.append(result(overlapping_periods(df, keys, start, end), table, "overlapping_periods", ",".join([*keys, start, end]), "error"))
         for fk, parent, key, severity in spec.relationships:
             results.append(result(orphans(df, fk, tables[parent], key), table, "relationships", fk, severity))
     report = reduce(lambda a, b: a.unionByName(b), results)

@@ -28,6 +28,7 @@ STAGING_CHECKS = {
     "ratings": Checks(
         not_null=["clubelo_club", "clubelo_country", "elo"],
         combinations=[["clubelo_club", "clubelo_country", "rating_from_date"]],
+        periods=[(["clubelo_club", "clubelo_country"], "rating_from_date", "rating_to_date")],
     ),
     "recent_moves": Checks(
         not_null=["club_id", "player_name", "direction"], accepted={"direction": ["in", "out"]},

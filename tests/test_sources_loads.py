@@ -223,6 +223,16 @@ def test_files_with_another_column_order_are_refused(spark, tmp_path):
         readers.read_csv(spark, str(folder), ["club", "country"]).collect()
 
 
+def test_ratings_declare_disjoint_periods(spark):
+    from tenure.plans.checks import STAGING_CHECKS
+
+    day = lambda d: dt.date(2024, 1, d)
+    data = [("a", "X", 1.0, day(1), day(9)), ("a", "X", 2.0, day(5), day(12)), ("b", "X", 3.0, day(1), day(4)), ("b", "X", 4.0, day(5), None)]
+    ratings = spark.createDataFrame(data, "clubelo_club string, clubelo_country string, elo double, rating_from_date date, rating_to_date date")
+    got = {r["check"]: (r["failures"], r["status"]) for r in quality.run_checks({"ratings": ratings}, {"ratings": STAGING_CHECKS["ratings"]}).where("failures > 0").collect()}
+    assert got == {"overlapping_periods": (1, "error")}
+
+
 def test_overlapping_periods(spark):
     day = lambda d: dt.date(2024, 1, d)
     data = [("a", day(1), day(5)), ("a", day(6), day(9)), ("a", day(9), day(10)), ("b", day(1), None), ("b", day(3), day(4)), ("c", day(1), day(20)), ("c", day(2), day(3)), ("c", day(15), day(30))]
