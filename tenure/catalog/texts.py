@@ -171,7 +171,7 @@ def token_jaccard_match(t):
         SELECT page_id // 5 AS search, page_id, page_id % 5 + 1 AS rank,
             CASE WHEN page_id % 2 = 0 THEN '2026–27 ' ELSE '2025–26 ' END || url AS title,
             CASE page_id // 5 % 3 WHEN 0 THEN 'example.net' WHEN 1 THEN 'example.com' ELSE 'example.org' END AS word FROM pages)
-    WHERE rank <= 3 AND contains(title, '2026–27') AND contains(lower(title), word)
+    WHERE contains(title, '2026–27') AND contains(lower(title), word)
     QUALIFY row_number() OVER (PARTITION BY search ORDER BY rank) = 1""")
 def candidate_title_match(t):
     key = F.col("page_id")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession) -> Iterator[SparkSession]:
+    """The SQL settings while a plan is built; the caller's own are back afterwards.
+
+    The time zone is fixed when Spark resolves the expressions of a plan, so a DataFrame made inside keeps it.
+    """
+    before = {key: spark.conf.get(key) for key in SQL_SETTINGS}
+    try:
+        yield tune(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def build(app: str = "tenure", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the SQL settings; `conf` holds extra settings with dots as double underscores."""
     builder = SparkSession.builder.appName(app)

@@ -18,9 +18,3 @@ def spark(tmp_path_factory):
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tenure.plans import ingest, marts

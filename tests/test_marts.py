@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tenure.plans import intermediate as im

@@ -3,7 +3,7 @@ import json
 import random
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tenure import session

@@ -4,7 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tenure.functions import names, text
