@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,17 +17,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in `spark.checkpoint.dir`, which all executors share.
+    """The folder named in `spark.checkpoint.dir`, which all executors share, set as the context's checkpoint folder.
 
-    Where neither that setting nor a checkpoint folder of the context is there (tests on one machine), a folder of
-    its own is set first.
+    Where neither that setting nor a checkpoint folder of the context is there, a session on one machine (tests) gets
+    a folder of its own; on a cluster that is an error.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not context.getCheckpointDir():
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return named or context.getCheckpointDir()
 
 
 def written(df: DataFrame) -> DataFrame:
