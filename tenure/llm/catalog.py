@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenure.llm import chunkbpe, decontaminate, linededup, minhash, ppm, prefixcounts, quality, secrets, sharding, suffixes, surrogates, turns
+from tenure.llm import chunkbpe, decontaminate, linededup, minhash, ppm, prefixcounts, quality, resampling, secrets, sharding, suffixes, surrogates, turns
 from tenure.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ppm_language": lambda spark, folder: ppm.op8_ppm_language(table(spark, folder, "documents")),
     "op9_quality_llr": lambda spark, folder: quality.op9_quality_llr(table(spark, folder, "documents"), table(spark, folder, "labels")),
     "op10_surrogates": lambda spark, folder: surrogates.op10_surrogates(table(spark, folder, "documents")),
+    "op11_importance_draw": lambda spark, folder: resampling.op11_importance_draw(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
     "op12_turn_repair": lambda spark, folder: turns.op12_turn_repair(table(spark, folder, "conversations")),
     "op13_line_bitmaps": lambda spark, folder: linededup.op13_line_bitmaps(table(spark, folder, "documents")),
 }
