@@ -243,7 +243,7 @@ _MARKERS = ", ".join(f"'{m}'" for m in names.RESERVE_MARKERS)
 _FUZZY = f"""
     WITH RECURSIVE sides AS (
         SELECT p_partkey, p_brand, p_size, true AS is_left, p_name || ' ' || p_type AS name FROM part
-        UNION ALL SELECT p_partkey, p_brand, p_size, false, p_name || 's ' || left(p_type, 4) FROM part),
+        UNION ALL SELECT p_partkey, p_brand, p_size, false, {{candidate}} FROM part),
     named AS (SELECT *, list_sort(list_distinct({_token_sql("name")})) AS tokens FROM sides),
     marked AS (SELECT *, len(list_intersect(tokens, [{_MARKERS}])) > 0 AS reserve FROM named),
     met AS (
@@ -271,15 +271,27 @@ _FUZZY = f"""
             ELSE greatest(1.0::DOUBLE - (len(a) + len(b) - 2 * lcs)::DOUBLE / (m + n), 1.0::DOUBLE - (m - c)::DOUBLE / (c + m), 1.0::DOUBLE - (n - c)::DOUBLE / (c + n)) END AS score
         FROM sized),
     best AS (
-        SELECT p_partkey, candidate, score FROM met JOIN scored USING (x, y) WHERE round(score, 3) >= 0.75
+        SELECT p_partkey, candidate, score FROM met JOIN scored USING (x, y)
         QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, other, candidate) = 1)
-    SELECT p_partkey, name, p_brand, p_size, candidate AS matched_name, round(score, 3) AS score, CASE WHEN candidate IS NULL THEN 'rejected' ELSE 'auto' END AS source
+    SELECT p_partkey, name, p_brand, p_size, CASE WHEN round(score, 3) >= 0.75 THEN candidate END AS matched_name,
+        CASE WHEN round(score, 3) >= 0.75 THEN round(score, 3) END AS score, CASE WHEN round(score, 3) >= 0.75 THEN 'auto' ELSE 'rejected' END AS source,
+        candidate AS best_name, round(score, 3) AS best_score
     FROM marked LEFT JOIN best USING (p_partkey) WHERE is_left"""
 
 
-@query(_FUZZY)
-def fuzzy_block_match(t):
+def _fuzzy(t, candidate):
     block = ["p_brand", "p_size"]
     left = t["part"].select("p_partkey", *block, F.concat_ws(" ", "p_name", "p_type").alias("name"))
-    right = t["part"].select("p_partkey", *block, F.concat(F.col("p_name"), F.lit("s "), F.left("p_type", F.lit(4))).alias("candidate"))
+    right = t["part"].select("p_partkey", *block, candidate.alias("candidate"))
     return matching.fuzzy_block_match(left, right, block, "p_partkey", "name", "candidate", "p_partkey")
+
+
+@query(_FUZZY.replace("{candidate}", "p_name || 's ' || left(p_type, 4)"))
+def fuzzy_block_match(t):
+    return _fuzzy(t, F.concat(F.col("p_name"), F.lit("s "), F.left("p_type", F.lit(4))))
+
+
+@query(_FUZZY.replace("{candidate}", "reverse(p_name) || ' ' || right(p_type, 3) || p_partkey % 9"))
+def fuzzy_best_miss(t):
+    """Names that are mostly too far from any candidate: the best miss of each and its score."""
+    return _fuzzy(t, F.concat(F.reverse("p_name"), F.lit(" "), F.right("p_type", F.lit(3)), (F.col("p_partkey") % 9).cast("string")))

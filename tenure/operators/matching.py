@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenure.functions.names import has_reserve_marker, name_tokens, title_accepts
-from tenure.functions.similarity import token_set_score
+from tenure.functions.similarity import best_in_chunk
 from tenure.operators.joins import attach, keep_missing
 from tenure.operators.ranking import latest_per_key
 from tenure.session import shared
@@ -43,6 +43,8 @@ NAME_OVERRIDES = {
     "FC Rapid 1923": "Rapid Bucuresti",
 }
 ACCEPT_THRESHOLD = 0.75
+#: Names of a block that meet at a time.
+LEFT_CHUNK, RIGHT_CHUNK = 250, 500
 
 
 def entity_resolve(
@@ -104,103 +106,36 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.nullif(F.size(F.array_union(a, b)), F.lit(0))
 
 
-def _rarity(side: DataFrame, feature: str, block: Sequence[str]) -> DataFrame:
-    return side.groupBy(*block, feature).agg(F.count(F.lit(1)).alias("__freq"))
+def _chunked(side: DataFrame, block: Sequence[str], rows: int, item: Column, chunk: str, chunks: str) -> DataFrame:
+    """Arrays of about `rows` items of one block, dealt by the hash of `__id`; `chunks` is their number in the block."""
+    sizes = side.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(chunks))
+    dealt = attach(side, sizes, block, "inner").withColumn(chunk, F.pmod(F.xxhash64("__id"), F.col(chunks)).cast("int"))
+    return dealt.groupBy(*block, chunks, chunk).agg(F.array_sort(F.collect_list(item)).alias("__items"))
 
 
-def _overlap_prefix(need_from: Column, weights: Column) -> Column:
-    """Leading elements (rarest first) that cannot all be missed by a partner covering `need_from` weight."""
-    total = F.aggregate(weights, F.lit(0).cast("bigint"), lambda acc, w: acc + w)
-    spare = total - need_from
-    return F.filter(
-        weights,
-        lambda _w, i: F.aggregate(F.slice(weights, 1, i), F.lit(0).cast("bigint"), lambda acc, w: acc + w) <= spare,
-    )
-
-
-def token_set_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
-    """Every pair of one block that can reach `threshold`, found through shared rare features.
+def best_set_matches(left: DataFrame, right: DataFrame, block: Sequence[str]) -> DataFrame:
+    """(block..., __id, __match, __score): the best right name for each left token set of a block, whatever its score.
 
-    Inputs hold distinct names with columns (block..., __id, __tokens as a sorted set). Two filters
-    cover the three ways in which a token-set score reaches t, and neither loses a pair:
-
-    * Coverage. The score of (common) against a full side of n characters is at least t only if the
-      common tokens make up t / (2 - t) of that side. So with the side's tokens sorted from rare to
-      frequent, one of the leading tokens must be shared: all but the trailing ones whose joint
-      length is too small to make up that share.
-    * Edits. The score of the two full sides (n and m characters) is at least t only if few
-      characters differ. One edit destroys at most two of the padded character pairs of a side, so
-      at least 1 + (n + m) * (1.5 t - 1) character pairs are shared, and the lengths differ by at
-      most the factor t / (2 - t). That bound is positive for t above 2/3.
+    `left` has (block..., __id), `right` also __first, a struct of (order, name); __id holds the sorted distinct
+    tokens joined by a space, once per block. Each side of a block is dealt into chunks of bounded size, and each pair
+    of chunks is one row, so a large block spreads over tasks and no pair of names becomes a row. Within a pair of
+    chunks `best_partners` bounds all scores by character counts and computes those that can still win. The best of a
+    name over the chunks of the other side is an aggregate with map-side combine.
     """
-    if not 2 / 3 < threshold <= 1:
-        raise ValueError("the pair filter is exact for thresholds above 2/3 only")
     block = list(block)
-    share = threshold / (2 - threshold)
-    grams_per_char = 1.5 * threshold - 1
-    size = F.aggregate("__tokens", F.lit(0).cast("bigint"), lambda acc, t: acc + F.length(t)) + F.size("__tokens") - 1
-
-    def grams(t: Column) -> Column:
-        padded = F.concat(F.lit(" "), t, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(t) + 1), lambda i: F.substring(padded, i, F.lit(2)))
-
-    def featured(side: DataFrame) -> DataFrame:
-        return side.where(F.size("__tokens") > 0).select(
-            *block, "__id", size.alias("__n"), "__tokens", F.flatten(F.transform("__tokens", grams)).alias("__grams")
-        )
-
-    a, b = featured(left), featured(right)
-
-    # Coverage: leading tokens of one side against all tokens of the other, both ways.
-    def tokens_of(side: DataFrame) -> DataFrame:
-        return side.select(*block, "__id", "__n", F.explode("__tokens").alias("__f"))
-
-    frequency = _rarity(tokens_of(a).unionByName(tokens_of(b)), "__f", block)
-
-    def leading_tokens(side: DataFrame) -> DataFrame:
-        ranked = attach(tokens_of(side), frequency, [*block, "__f"], "inner").groupBy(*block, "__id", "__n").agg(
-            F.sort_array(F.collect_list(F.struct("__freq", "__f"))).alias("__list")
-        )
-        # A trailing run of tokens with its blanks is shorter than the sum of (length + 1).
-        weights = F.transform("__list", lambda s: (F.length(s["__f"]) + 1).cast("bigint"))
-        need = F.ceil(F.col("__n") * F.lit(share) - F.lit(1e-9)).cast("bigint")
-        kept = F.size(_overlap_prefix(need, weights))
-        return ranked.select(*block, "__id", F.explode(F.slice("__list", F.lit(1), kept)).alias("__s")).select(
-            *block, "__id", F.col("__s.__f").alias("__f")
-        )
-
-    def pairs_on(l: DataFrame, r: DataFrame, on: Sequence[str]) -> DataFrame:
-        return l.withColumnRenamed("__id", "__l").join(r.withColumnRenamed("__id", "__r"), [*block, *on], "inner")
-
-    all_a, all_b = tokens_of(a).drop("__n"), tokens_of(b).drop("__n")
-    covered = pairs_on(leading_tokens(a), all_b, ["__f"]).unionByName(pairs_on(all_a, leading_tokens(b), ["__f"]))
-
-    # Edits: leading character pairs of both sides, numbered so that repeats count. Tokens are
-    # made of a-z and 0-9, so there are at most 37 * 37 pairs and their counts fit in one small map.
-    counted = a.select("__grams").unionByName(b.select("__grams")).select(F.explode("__grams").alias("__g")).groupBy("__g").agg(
-        F.count(F.lit(1)).alias("__freq")
-    )
-    rarity = counted.agg(F.map_from_entries(F.collect_list(F.struct("__g", "__freq")))).scalar()
-
-    def leading_grams(side: DataFrame) -> DataFrame:
-        repeats = F.transform("__grams", lambda g, i: F.concat(
-            g, F.size(F.filter(F.slice("__grams", F.lit(1), i + 1), lambda other: other == g)).cast("string")
-        ))
-        single = F.size(F.array_distinct("__grams")) == F.size("__grams")
-        numbered = F.when(single, F.transform("__grams", lambda g: F.concat(g, F.lit("1")))).otherwise(repeats)
-        ranked = F.array_sort(F.transform(numbered, lambda f: F.struct(
-            F.element_at(F.col("__rarity"), F.substring(f, 1, 2)).alias("freq"), f.alias("f")
-        )))
-        need = F.greatest(F.ceil(1 + F.col("__n") * (1 + share) * grams_per_char - 1e-9), F.lit(1)).cast("int")
-        kept = F.slice(ranked, F.lit(1), F.greatest(F.size("__grams") - need + 1, F.lit(0)))
-        return side.withColumn("__rarity", rarity).select(*block, "__id", "__n", F.explode(kept["f"]).alias("__f"))
-
-    l = leading_grams(a).withColumnRenamed("__n", "__ln")
-    r = leading_grams(b).withColumnRenamed("__n", "__rn")
-    close = (F.least("__ln", "__rn") >= F.greatest("__ln", "__rn") * share - 1e-9)
-    edited = pairs_on(l, r, ["__f"]).where(close)
-    columns = [*block, "__l", "__r"]
-    return covered.select(*columns).unionByName(edited.select(*columns)).distinct()
+    lefts = _chunked(left, block, LEFT_CHUNK, F.col("__id"), "__lc", "__lcs")
+    ranked = F.struct(F.col("__first"), F.col("__id").alias("id"))
+    rights = _chunked(right, block, RIGHT_CHUNK, ranked, "__rc", "__rcs")
+    # The chunk numbers of the other side are part of the join key, so that no key holds a whole block.
+    width = rights.select(*block, "__rcs").distinct()
+    spread = attach(lefts, width, block, "inner").withColumn("__rc", F.explode(F.sequence(F.lit(0), F.col("__rcs") - 1))).drop("__rcs")
+    met = spread.join(rights.drop("__rcs").withColumnRenamed("__items", "__others"), [*block, "__rc"], "inner")
+    found = met.select(*block, "__items", "__others", best_in_chunk("__items", F.col("__others")["id"]).alias("__best"))
+    each = found.select(*block, "__others", F.explode(F.arrays_zip("__items", "__best")).alias("__one"))
+    hit = F.element_at("__others", F.col("__one.__best.at") + 1)["__first"]
+    scored = each.select(*block, F.col("__one.__items").alias("__id"), F.struct((-F.col("__one.__best.score")).alias("less"), hit.alias("first")).alias("__hit"))
+    best = scored.groupBy(*block, "__id").agg(F.min("__hit").alias("__hit"))
+    return best.select(*block, "__id", F.col("__hit.first.name").alias("__match"), (-F.col("__hit.less")).alias("__score"))
 
 
 def fuzzy_block_match(
@@ -218,49 +153,42 @@ def fuzzy_block_match(
     """Match each left row to its best right name of the same block by token-set score.
 
     Returns one row per left row whose block occurs on the right: (left_id, left_name, block...,
-    matched_name, score, source), where source is 'manual' for an override, 'auto' for a score of
-    at least `threshold` and 'rejected' (NULL match) below it. A reserve marker must be on both
-    sides or on neither. Among equal scores the first right name by `right_order` wins.
-
-    Names are reduced to distinct token sets per block first, so copies of a name cost nothing;
-    only pairs that can reach the threshold are scored, see `token_set_pairs`.
+    matched_name, score, source, best_name, best_score), where source is 'manual' for an override,
+    'auto' for a score of at least `threshold` (rounded to three digits) and 'rejected' (NULL match
+    and score) below it. best_name and best_score are the best right name whatever its score, so a
+    rejected name shows its best miss; they are NULL if no right name of the block may match. A
+    reserve marker must be on both sides or on neither. Among equal scores the first right name by
+    `right_order` wins. Names without a token take no part.
+
+    Names are reduced to distinct token sets per block first, so copies of a name cost nothing; see
+    `best_set_matches` for the search.
     """
     block = list(block)
     guarded = [*block, "__reserve"]
 
-    def normalised(side: DataFrame, name: str, *extra: Column) -> DataFrame:
+    def normalised(side: DataFrame, name: str) -> DataFrame:
         distinct = side.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in [*block, name]]))
         names = distinct.select(F.col(name).alias("__name")).distinct().withColumn("__raw", name_tokens(F.col("__name")))
-        names = names.select("__name", F.array_sort(F.array_distinct("__raw")).alias("__tokens"),
-                             has_reserve_marker(F.col("__raw")).alias("__reserve"))
+        names = names.select(
+            "__name", F.concat_ws(" ", F.array_sort(F.array_distinct("__raw"))).alias("__id"), has_reserve_marker(F.col("__raw")).alias("__reserve")
+        )
         return attach(distinct.withColumn("__name", F.col(name)), names, ["__name"], "inner")
 
     known = right.select(*block).distinct()
-    rows = attach(left, known, block, "left_semi")
-    tokens_left = normalised(rows, left_name).withColumn("__id", F.concat_ws(" ", "__tokens"))
-    tokens_right = (
-        normalised(right, right_name)
-        .withColumn("__id", F.concat_ws(" ", "__tokens"))
-        .groupBy(*guarded, "__id", "__tokens")
-        .agg(F.min(F.struct(F.col(right_order).alias("order"), F.col(right_name).alias("name"))).alias("__first"))
+    named = normalised(attach(left, known, block, "left_semi"), left_name)
+    candidates = normalised(right, right_name).where("__id <> ''").groupBy(*guarded, "__id").agg(
+        F.min(F.struct(F.col(right_order).alias("order"), F.col(right_name).alias("name"))).alias("__first")
     )
-    # The distinct sets feed many branches of the pair search.
-    tokens_right = shared(tokens_right, scratch)
-    sets = shared(tokens_left.select(*guarded, "__id", "__tokens").distinct(), scratch)
-    # Scores are accepted after rounding to three digits, so pairs just below the threshold count too.
-    pairs = token_set_pairs(sets, tokens_right.select(*guarded, "__id", "__tokens"), guarded, threshold - 0.0005)
-    scored = pairs.withColumn("__score", token_set_score(F.split("__l", " "), F.split("__r", " ")))
-    scored = attach(scored, tokens_right.drop("__tokens"), {**{c: c for c in guarded}, "__r": "__id"}, "inner")
-    best = latest_per_key(
-        scored.where(F.round("__score", 3) >= threshold), [*guarded, "__l"],
-        [F.col("__score").desc(), F.col("__first.order").asc(), F.col("__first.name").asc()],
-    ).select(*guarded, "__l", F.col("__first.name").alias("__match"), F.round("__score", 3).alias("__score"))
-    out = attach(tokens_left, best, {**{c: c for c in guarded}, "__id": "__l"}, "left")
+    sets = named.where("__id <> ''").select(*guarded, "__id").distinct()
+    best = best_set_matches(shared(sets, scratch), shared(candidates, scratch), guarded)
+    out = attach(named, best, [*guarded, "__id"], "left")
     manual = literal_map(overrides, F.col(left_name)) if overrides else F.lit(None).cast("string")
+    rounded = F.round("__score", 3)
+    accepted = rounded >= threshold
     return out.select(
         left_id, left_name, *block,
-        F.coalesce(manual, F.col("__match")).alias("matched_name"),
-        F.when(manual.isNotNull(), F.lit(1.0)).otherwise(F.col("__score")).alias("score"),
-        F.when(manual.isNotNull(), "manual").when(F.col("__match").isNotNull(), "auto").otherwise("rejected").alias("source"),
+        F.coalesce(manual, F.when(accepted, F.col("__match"))).alias("matched_name"),
+        F.when(manual.isNotNull(), F.lit(1.0)).otherwise(F.when(accepted, rounded)).alias("score"),
+        F.when(manual.isNotNull(), "manual").when(accepted, "auto").otherwise("rejected").alias("source"),
+        F.col("__match").alias("best_name"), rounded.alias("best_score"),
     )
-

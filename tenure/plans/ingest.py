@@ -56,7 +56,8 @@ def club_mapping(clubs: DataFrame, competitions: DataFrame, rated: DataFrame, th
     """(mapping, rejected, skipped) between clubs and rated names of the same country.
 
     `rated` holds clubelo_club and clubelo_country, one row per name. Clubs of a country without
-    ratings are skipped; clubs whose best score is too low are rejected, for review by hand.
+    ratings are skipped; clubs whose best score is too low are rejected, with
+    their best miss and its score for review by hand.
     """
     countries = competitions.select(F.col("competition_id").alias("domestic_competition_id"), "country_name")
     placed = attach(clubs.select("club_id", "club_name", "domestic_competition_id"), countries, ["domestic_competition_id"], "left")
@@ -68,7 +69,7 @@ def club_mapping(clubs: DataFrame, competitions: DataFrame, rated: DataFrame, th
     mapping = matched.where("source != 'rejected'").select(
         "club_id", "club_name", F.col("matched_name").alias("clubelo_club"), "clubelo_country"
     )
-    rejected = matched.where("source = 'rejected'").select("club_id", "club_name", "clubelo_country")
+    rejected = matched.where("source = 'rejected'").select("club_id", "club_name", "clubelo_country", F.col("best_name").alias("best_miss"), "best_score")
     skipped = keep_missing(coded, names, ["clubelo_country"])
     return mapping, rejected, skipped
 

@@ -8,7 +8,7 @@ from tests.helpers import rows
 from pyspark.sql import functions as F
 
 from tenure.functions import names, text
-from tenure.functions.similarity import lcs_length, token_set_ratio
+from tenure.functions.similarity import best_partners, lcs_length, token_set_ratio
 from tenure.operators import html, matching
 from tenure.sources.staging import stage_recent_moves
 
@@ -97,7 +97,8 @@ def test_candidate_title(spark):
         "q long, rank int, title string, name string",
     ).withColumn("season", F.lit("2026–27"))
     out = matching.pick_candidate(df, ["q"], "rank", "title", "season", "name")
-    assert rows(out, "q", "rank") == [(1, 2)]
+    assert rows(out, "q", "rank") == [(1, 2), (3, 4)]
+    assert rows(matching.pick_candidate(df, ["q"], "rank", "title", "season", "name", top=3), "q", "rank") == [(1, 2)]
 
 
 def test_first_section(spark):
@@ -153,7 +154,9 @@ def test_fuzzy_match_equals_all_pairs(spark, seed, threshold):
     l = spark.createDataFrame(left, "id long, name string, block string")
     r = spark.createDataFrame(right, "ord long, cand string, block string")
     out = matching.fuzzy_block_match(l, r, ["block"], "id", "name", "cand", "ord", threshold, {"FCSB": "Steaua"})
-    got = {x["id"]: (x["matched_name"], x["score"], x["source"]) for x in out.collect()}
+    found = out.collect()
+    got = {x["id"]: (x["matched_name"], x["score"], x["source"]) for x in found}
+    missed = {x["id"]: (x["best_name"], x["best_score"]) for x in found}
     marked = lambda ts: any(t in names.RESERVE_MARKERS for t in ts)
     assert set(got) == {i for i, _, b in left if b in ("X", "Y")}
     for i, n, b in left:
@@ -166,6 +169,8 @@ def test_fuzzy_match_equals_all_pairs(spark, seed, threshold):
             score = token_set_ratio(norm(n), norm(cand))
             if score > best:
                 best, match = score, cand
+        if norm(n) and best > 0:
+            assert missed[i] == (match, pytest.approx(round(best, 3))), n
         if round(best, 3) >= threshold:
             assert got[i] == (match, pytest.approx(round(best, 3)), "auto"), n
         else:
@@ -173,10 +178,41 @@ def test_fuzzy_match_equals_all_pairs(spark, seed, threshold):
     assert got[900] == ("Steaua", 1.0, "manual")
 
 
-def test_pair_filter_refuses_low_thresholds(spark):
-    df = spark.createDataFrame([("x", "a", ["a"])], "block string, __id string, __tokens array<string>")
-    with pytest.raises(ValueError):
-        matching.token_set_pairs(df, df, ["block"], 0.6)
+def test_best_partners_equal_all_pairs():
+    rng = random.Random(11)
+    syllables = ["ba", "to", "ren", "lis", "mo", "ka", "shen", "dur", "x", "zq"]
+
+    def name():
+        return sorted({"".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 4))})
+
+    for round_ in range(60):
+        left, right = ([name() for _ in range(rng.randint(1, 30))] for _ in "lr")
+        if round_ % 10 == 0:  # beyond 64 characters
+            left.append(["q" * 80, "ab"])
+            right.append(["q" * 70])
+        scores, at, _ = best_partners(left, right)
+        for i, tokens in enumerate(left):
+            every = [token_set_ratio(tokens, other) for other in right]
+            assert scores[i] == pytest.approx(max(every)) and at[i] == every.index(max(every))
+
+
+def test_a_large_block_scores_few_pairs_and_spreads(spark, monkeypatch):
+    """Chunks smaller than the block, names far from one another: the result is that of one chunk, bounds rule most pairs out."""
+    rng = random.Random(12)
+    pool = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(2)) for _ in range(1200)]
+    l = spark.createDataFrame([(i, n, "X") for i, n in enumerate(pool[:600])], "id long, name string, block string")
+    r = spark.createDataFrame([(i, n, "X") for i, n in enumerate(pool[600:] + pool[:50])], "ord long, cand string, block string")
+
+    def run():
+        out = matching.fuzzy_block_match(l, r, ["block"], "id", "name", "cand", "ord", 0.5)
+        return sorted(tuple(x) for x in out.collect())
+
+    whole = run()
+    monkeypatch.setattr(matching, "LEFT_CHUNK", 37)
+    monkeypatch.setattr(matching, "RIGHT_CHUNK", 90)
+    assert run() == whole and len(whole) == 600
+    assert all(x[-1] == 1.0 and x[5] == "auto" for x in whole if x[0] < 50)
+    assert all(x[-2] is not None for x in whole)
 
 
 PAGE = """
