@@ -6,15 +6,20 @@ texts, or one text of any length, so memory follows the longest text and never t
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 _MULTIPLIER = 0x9E3779B97F4A7C15
+#: Masks of the first n of eight bytes, for a little-endian machine.
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _WHITE = np.zeros(256, bool)
+_FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
@@ -30,6 +35,22 @@ def worker_cache(name: str, stamp: str, make: Callable[[], object]) -> object:
     return held[name, stamp]
 
 
+def fresh_worker() -> None:
+    """Drop what an earlier operator left in this worker process, and give the memory back."""
+    held = sys.__dict__.get("_tenure_llm")
+    if held:
+        held.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, which allocators otherwise keep for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Recent:
     """A bounded memo: the last `limit` new entries and those of the generation before that are still in use."""
 
@@ -94,21 +115,53 @@ class Words:
         self.end = np.flatnonzero(last) + 1
         self.text = np.searchsorted(offsets, self.start, "right") - 1
 
-    def hashes(self, table: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each word. `table` replaces the byte values, e.g. to fold case."""
-        return span_hashes(self.data, self.start, self.end, table)
+    def hashes(self, fold: bool = False) -> np.ndarray:
+        """A keyed 64-bit BLAKE2 value of each word; `fold` takes A-Z for a-z."""
+        distinct, which = self.distinct(fold)
+        digests = [hashlib.blake2b(word, digest_size=8, key=b"words").digest() for word in distinct]
+        return np.frombuffer(b"".join(digests), np.uint64)[which] if digests else np.zeros(0, np.uint64)
 
     def counts(self) -> np.ndarray:
         """Words of each text."""
         return np.bincount(self.text, minlength=len(self.offsets) - 1)
 
-    def distinct(self) -> tuple[list[bytes], np.ndarray]:
-        """The distinct words and the index of each word among them."""
+    def distinct(self, fold: bool = False) -> tuple[list[bytes], np.ndarray]:
+        """The distinct words and the index of each word among them; `fold` takes A-Z for a-z.
+
+        Words are sorted by a quick hash. Equal words share it; different ones may, by design of a text even, so each
+        word is compared with the first of its hash byte by byte, and a block where one differs goes through a dict.
+        """
         if not len(self.start):
             return [], np.zeros(0, np.int64)
-        _, first, inverse = np.unique(self.hashes(), return_index=True, return_inverse=True)
-        raw = self.data.tobytes()
-        return [raw[a:b] for a, b in zip(self.start[first].tolist(), self.end[first].tolist())], inverse.reshape(-1)
+        data = _FOLD[self.data] if fold else self.data
+        _, first, inverse = np.unique(span_hashes(data, self.start, self.end), return_index=True, return_inverse=True)
+        inverse = inverse.reshape(-1)
+        raw = data.tobytes()
+        if equal_spans(data, self.start, self.end, first[inverse]):
+            return [raw[a:b] for a, b in zip(self.start[first].tolist(), self.end[first].tolist())], inverse
+        index: dict[bytes, int] = {}
+        which = [index.setdefault(raw[a:b], len(index)) for a, b in zip(self.start.tolist(), self.end.tolist())]
+        return list(index), np.array(which, np.int64)
+
+
+def equal_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each byte span equals the span with the index `other`."""
+    size = end - start
+    if not np.array_equal(size, size[other]):
+        return False
+    moved = np.flatnonzero(other != np.arange(len(start)))
+    a, b, left = start[moved], start[other[moved]], size[moved]
+    # Eight bytes at each position, read without regard to alignment.
+    eights = np.ndarray((len(data) + 1,), np.uint64, np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    for at in range(0, 64, 8):
+        if not len(a):
+            return True
+        differ = eights[a + at] ^ eights[b + at]
+        if (differ & _LOW_BYTES[np.minimum(left - at, 8)]).any():
+            return False
+        longer = left > at + 8
+        a, b, left = a[longer], b[longer], left[longer]
+    return all(np.array_equal(data[x + 64 : x + n], data[y + 64 : y + n]) for x, y, n in zip(a.tolist(), b.tolist(), left.tolist()))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -136,27 +189,20 @@ def powers(n: int, base: int = _MULTIPLIER) -> np.ndarray:
         return np.multiply.accumulate(out)[:n]
 
 
-def prefix_hashes(data: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Prefix sums of value(byte i) * base ** i, with a leading zero."""
-    values = byte_table(7) if table is None else table
+    values = byte_table(7)
     out = np.zeros(len(data) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum(values[data] * powers(len(data)), out=out[1:])
     return out
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of each byte span, equal for equal spans at any place."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A quick 64-bit hash of each byte span, equal for equal spans at any place. Different spans can be made to share it."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    prefix = prefix_hashes(data, table)
+    prefix = prefix_hashes(data)
     back = powers(len(data), pow(_MULTIPLIER, -1, 1 << 64))
     with np.errstate(over="ignore"):
         return mix((prefix[end] - prefix[start]) * back[start] + (end - start).astype(np.uint64))
-
-
-def folded_table() -> np.ndarray:
-    """Byte values that fold A-Z to lower case, for hashes."""
-    table = byte_table(7)
-    table[65:91] = table[97:123]
-    return table

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tenure.llm.blocks import Words, blocks, folded_table, mix, text_bytes
+from tenure.llm.blocks import Words, blocks, fresh_worker, mix, text_bytes
 from tenure.llm.components import components
 from tenure.llm.tables import keys, written
 
@@ -44,7 +44,7 @@ SLACK = 6.0
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, and the text of each, by text and hash."""
     words = Words(data, offsets)
-    hashes = words.hashes(folded_table())
+    hashes = words.hashes(fold=True)
     counts = words.counts()
     out_hash, out_text = [], []
     n = len(hashes) - SHINGLE + 1
@@ -91,6 +91,7 @@ def registers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fresh_worker()
     for block in blocks(batches):
         hashes, text = shingle_sets(*text_bytes(block.column("text")))
         n_texts = block.num_rows
@@ -120,6 +121,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fresh_worker()
     for block in blocks(batches):
         hashes, text = shingle_sets(*text_bytes(block.column("text")))
         ends = np.searchsorted(text, np.arange(block.num_rows + 1))

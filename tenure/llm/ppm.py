@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from tenure.llm.blocks import blocks, text_bytes, worker_cache
+from tenure.llm.blocks import blocks, give_back, text_bytes, worker_cache
 from tenure.llm.tables import in_sample, keys
 
 ORDER = 3
@@ -151,6 +151,7 @@ class Trees:
 
 def _predicted(batches: Iterator[pa.RecordBatch], languages: list[str], counts: np.ndarray, stamp: str, column: str) -> Iterator[pa.RecordBatch]:
     trees: Trees | None = worker_cache("trees", stamp, lambda: Trees(languages, counts) if languages else None)
+    give_back()
     for block in blocks(batches, column):
         letters = block.column("_letters").to_numpy(zero_copy_only=False)
         if trees is None:
