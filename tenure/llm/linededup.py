@@ -10,22 +10,24 @@ of kept lines per document, which `apply_bitmaps` lays over the texts.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from tenure.llm.blocks import blocks
 from tenure.llm.tables import written
 
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
 _WHITE = " \t\n\x0b\x0c\r"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_ID = -(1 << 63)
 _DROPS = StructType([StructField("doc", LongType()), StructField("tag", LongType()), StructField("at", IntegerType())])
 _EDGES = StructType([
@@ -39,17 +41,31 @@ def _identity(id_column: str, column: str) -> list[Column]:
     return [F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(column).alias("tag")]
 
 
-def line_key(line: Column) -> Column:
-    """The line without white space at its ends, A-Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(_WHITE)), _UPPER, _LOWER)
+def line_keys(lines: pa.Array) -> pa.Array:
+    """Lines without white space at their ends, A-Z in lower case."""
+    return pc.ascii_lower(pc.utf8_trim(lines, characters=_WHITE))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], least_chars: int) -> Iterator[pa.RecordBatch]:
+    """key, doc, tag and at of each long enough line."""
+    for block in blocks(batches):
+        lists = pc.split_pattern(pc.fill_null(block.column("text"), "").cast(pa.large_string()), "\n")
+        lines, offsets = lists.flatten(), lists.offsets.to_numpy()
+        long = np.flatnonzero(pc.greater_equal(pc.utf8_length(lines), least_chars).to_numpy(zero_copy_only=False))
+        keys = line_keys(lines.take(pa.array(long)))
+        still = np.flatnonzero(pc.greater_equal(pc.utf8_length(keys), least_chars).to_numpy(zero_copy_only=False))
+        long, keys = long[still], keys.take(pa.array(still)).cast(pa.large_binary()).to_pylist()
+        own = np.searchsorted(offsets, long, "right") - 1
+        # 128 bits of BLAKE2: two different lines do not share them by chance, nor by anyone's design.
+        digests = pa.array([hashlib.blake2b(k, digest_size=16).digest() for k in keys], pa.binary())
+        taken = pa.array(own)
+        yield pa.RecordBatch.from_arrays([digests, block.column("doc").take(taken), block.column("tag").take(taken), pa.array((long - offsets[own]).astype(np.int32))], ["key", "doc", "tag", "at"])
 
 
 def _sorted_lines(docs: DataFrame, least_chars: int, column: str, id_column: str) -> DataFrame:
     """key, doc, tag and at of each long enough line, in order over all partitions, written once."""
-    lines = docs.select(*_identity(id_column, column), F.posexplode(F.split(column, "\n", -1)).alias("at", "line"))
-    keyed = lines.select(line_key(F.col("line")).alias("line"), "doc", "tag", "at").filter(F.length("line") >= least_chars)
-    # 128 bits of SHA-256: two different lines do not share them by chance, nor by anyone's design.
-    hashed = keyed.select(F.substring(F.unhex(F.sha2("line", 256)), 1, 16).alias("key"), "doc", "tag", "at")
+    texts = docs.select(*_identity(id_column, column), F.col(column).cast("string").alias("text"))
+    hashed = texts.mapInArrow(lambda batches: _hashed(batches, least_chars), "key binary, doc long, tag long, at int")
     order = [F.col("key"), F.col("doc").desc(), F.col("tag"), F.col("at")]
     return written(hashed.repartitionByRange(*order).sortWithinPartitions(*order))
 
@@ -163,7 +179,7 @@ def _stream_drops(batches: Iterator[pa.RecordBatch], spanning: dict[bytes, tuple
 def keep_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, least_documents: int = LEAST_DOCUMENTS, column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc, tag, n_lines, n_dropped and keep of each document: a bit per line, packed from the lowest and deflated.
 
-    Lines are split at \\n; a null or empty text is one empty line. A line whose key (`line_key`) has `least_chars`
+    Lines are split at \\n; a null or empty text is one empty line. A line whose key (`line_keys`) has `least_chars`
     code points or more and is found in `least_documents` documents or more stays in the largest id that holds it,
     there with all its repeats, and goes from the others. Ids are integers; rows that share an id are one document,
     and `tag`, a checksum of the text, tells their bitmaps apart; a null id (doc: the smallest long) counts as the
@@ -173,7 +189,7 @@ def keep_bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, least_document
     spanning = spanning_keys(lines.mapInArrow(_edges, _EDGES).collect())  # two rows per partition
     drops = lines.mapInArrow(lambda batches: _stream_drops(batches, spanning, least_documents), _DROPS)
     text = F.coalesce(F.col(column), F.lit(""))
-    sizes = docs.select(*_identity(id_column, column), (F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"), F.lit(None).cast("int").alias("at"))
+    sizes = docs.select(*_identity(id_column, column), (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"), F.lit(None).cast("int").alias("at"))
     both = sizes.unionByName(drops.withColumn("n_lines", F.lit(None).cast("long")))
     marked = both.groupBy("doc", "tag").agg(F.max("n_lines").alias("n_lines"), F.collect_set("at").alias("ats"))
 
