@@ -14,7 +14,7 @@ from tenure.operators.ranking import last_period_rows
 from tenure.functions.text import leading_int
 from tenure.plans import adapters as ad
 from tenure.plans import intermediate as im
-from tenure.plans import marts
+from tenure.plans import incremental, marts
 
 
 def _champions(t: ad.Tables) -> DataFrame:
@@ -153,7 +153,7 @@ def _entity_resolve(t):
     return found.select(*im.MOVE_KEY, "player_id")
 
 
-@query(sql(["transfers", "spells", "performance", "value_at_end", "elo", "titles"], """
+_FCT_TRANSFER = sql(["transfers", "spells", "performance", "value_at_end", "elo", "titles"], """
     SELECT transfer_id, t.player_id, from_club_id, to_club_id, transfer_date, transfer_season, transfer_fee,
         t.market_value_in_eur AS market_value_at_transfer, spell_end_date, spell_end_date IS NULL AS is_current_spell,
         market_value_at_spell_end, market_value_at_spell_end_date, matches_played AS matches_played_during_spell,
@@ -167,13 +167,16 @@ def _entity_resolve(t):
         transfer_fee / nullif(goals + assists, 0) AS cost_per_goal_contribution,
         transfer_fee / nullif(seasons_played, 0) AS cost_per_season, to_club_elo - from_club_elo AS club_elo_delta
     FROM transfers t JOIN spells USING (transfer_id) LEFT JOIN performance USING (transfer_id)
-        LEFT JOIN value_at_end USING (transfer_id) LEFT JOIN elo USING (transfer_id) LEFT JOIN titles USING (transfer_id)"""))
+        LEFT JOIN value_at_end USING (transfer_id) LEFT JOIN elo USING (transfer_id) LEFT JOIN titles USING (transfer_id)""")
+
+
+@query(_FCT_TRANSFER)
 def fct_transfer(t):
     needed = ["transfers", "appearances", "games", "club_games", "player_valuations", "scope", "mapping", "ratings"]
     return marts.fct_transfer(ad.domain(t, *needed), ad.AS_OF)
 
 
-@query(sql(["recent_moves", "trajectory", "tenure_titles", "players"], """
+_FCT_RECENT_MOVES = sql(["recent_moves", "trajectory", "tenure_titles", "players"], """
     SELECT m.club_id, m.club_name, season, m.direction, m.transfer_date, m.player_name, player_wiki_title, other_club_name,
         transfer_type, cast(fee_amount AS double) AS fee_amount, fee_currency, source_page, image_url AS player_image_url,
         value_at_arrival, value_at_arrival_date, value_at_departure, value_at_departure_date, league_titles_during_tenure,
@@ -185,12 +188,46 @@ def fct_transfer(t):
             AND m.transfer_date = v.transfer_date
         LEFT JOIN players p ON v.player_id = p.player_id
         LEFT JOIN tenure_titles l ON m.club_id = l.club_id AND m.player_name = l.player_name AND m.direction = l.direction
-            AND m.transfer_date = l.transfer_date"""))
+            AND m.transfer_date = l.transfer_date""")
+
+
+@query(_FCT_RECENT_MOVES)
 def fct_recent_moves(t):
     needed = ["games", "club_games", "player_valuations", "scope", "players", "recent_moves"]
     return marts.fct_recent_moves(ad.domain(t, *needed)).withColumn("fee_amount", F.col("fee_amount").cast("double"))
 
 
+_TRANSFER_TABLES = ["transfers", "appearances", "games", "club_games", "player_valuations", "scope", "mapping", "ratings"]
+_MOVE_TABLES = ["games", "club_games", "player_valuations", "scope", "players", "recent_moves"]
+
+
+@query(_FCT_TRANSFER)
+def incremental_fct_transfer(t):
+    """The mart of the tables without their newest rows, brought up to date by these: late transfers, valuations and appearances."""
+    after = ad.domain(t, *_TRANSFER_TABLES)
+    late = {
+        "transfers": F.col("transfer_date") >= "2001-07-20", "player_valuations": F.col("valuation_date") >= "2001-10-25",
+        "appearances": F.col("appearance_date") >= "2001-10-25",
+    }
+    before = {**after, **{name: after[name].where(~rows) for name, rows in late.items()}}
+    changes = {name: after[name].where(rows) for name, rows in late.items()}
+    return incremental.fct_transfer(marts.fct_transfer(before, ad.AS_OF), after, changes, ad.AS_OF)
+
+
+@query(_FCT_RECENT_MOVES)
+def incremental_fct_recent_moves(t):
+    """The same for the moves: the newest valuations are late, and the moves of some days were read with another fee."""
+    after = ad.domain(t, *_MOVE_TABLES)
+    late = F.col("valuation_date") >= "2001-10-25"
+    reread = F.col("transfer_date").between("2001-07-20", "2001-07-24")
+    moves, valuations = after["recent_moves"], after["player_valuations"]
+    wrong = moves.withColumn("fee_amount", F.when(reread, F.lit(0).cast("decimal(38,6)").cast(moves.schema["fee_amount"].dataType)).otherwise(F.col("fee_amount")))
+    before = {**after, "recent_moves": wrong, "player_valuations": valuations.where(~late)}
+    changes = {"recent_moves": moves.where(reread).unionByName(wrong.where(reread)), "player_valuations": valuations.where(late)}
+    fresh = incremental.fct_recent_moves(marts.fct_recent_moves(before), after, changes)
+    return fresh.withColumn("fee_amount", F.col("fee_amount").cast("double"))
+
+
 @query(sql(["ratings", "mapping"], """
     SELECT cast(r_regionkey AS bigint) AS club_id, r_name AS club_code, 'Club ' || r_regionkey AS club_name, 'C' || r_regionkey AS domestic_competition_id,
         'Coach ' || r_regionkey AS coach_name, cast(20 + r_regionkey AS int) AS squad_size, r_regionkey * 1.5::double AS average_age,
