@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tenure.sources.published import replace
+
 PRODUCTION = "prod"
 
 
@@ -16,14 +18,9 @@ def schema_name(layer: str | None, target: str, target_schema: str) -> str:
     return layer.strip() if target == PRODUCTION else f"{target_schema}_{layer.strip()}"
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace load: the folder holds this result and nothing else."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-
-
 def write_layer(df: DataFrame, root: str, layer: str | None, table: str, target: str, target_schema: str,
                 partition_by: Sequence[str] = ()) -> str:
-    """Write a table under its layer; returns the folder."""
+    """Publish a table under its layer; returns the folder, which `published.open_table` reads."""
     path = f"{root}/{schema_name(layer, target, target_schema)}/{table}"
     replace(df, path, partition_by)
     return path
@@ -34,7 +31,7 @@ EXTRACTS = {"fct_transfer": ["transfer_season"], "fct_recent_moves": [], "dim_pl
 
 
 def extract_marts(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Write the page extracts as Parquet; reports that filter by season read one partition."""
+    """Publish the page extracts; reports that filter by season read one partition. `published.open_table` reads them."""
     paths = {}
     for name, by in EXTRACTS.items():
         paths[name] = f"{root}/{name}"

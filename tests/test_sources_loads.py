@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tenure import session
 from tenure.operators import loads, quality
 from tenure.plans import checks
-from tenure.sources import readers, sinks, staging
+from tenure.sources import published, readers, sinks, staging
 from tenure.streaming import upserts
 
 SAMPLES = {"int": "7", "long": "12", "double": "1.5", "boolean": "1", "date": "2020-01-31", "string": "text"}
@@ -97,9 +97,9 @@ def test_layers_and_extracts(spark, tmp_path):
     df = spark.createDataFrame([("22/23", 1), ("23/24", 2)], "transfer_season string, id long")
     path = sinks.write_layer(df, str(tmp_path), "marts", "t", "dev", "me")
     sinks.write_layer(df.where("id = 1"), str(tmp_path), "marts", "t", "dev", "me")
-    assert path.endswith("/me_marts/t") and spark.read.parquet(path).count() == 1
+    assert path.endswith("/me_marts/t") and published.open_table(spark, path).count() == 1
     paths = sinks.extract_marts({name: df for name in sinks.EXTRACTS}, str(tmp_path / "x"))
-    back = spark.read.parquet(paths["fct_transfer"])
+    back = published.open_table(spark, paths["fct_transfer"])
     assert rows(back, "id", "transfer_season") == [(1, "22/23"), (2, "23/24")]
     plan = back.where("transfer_season = '22/23'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(transfer_season" in plan
@@ -184,8 +184,82 @@ def test_stream_of_files_equals_one_batch(spark, tmp_path):
     upserts.append_load(spark.createDataFrame(data[80:], schema), 2, table, ["id"], ["seq"])
     again = upserts.read_current(spark, table, schema, ["id"])
     assert rows(again) == rows(current)
-    upserts.compact(spark, table, schema, ["id"], str(tmp_path / "compacted"))
-    assert rows(upserts.read_current(spark, str(tmp_path / "compacted"), schema, ["id"])) == rows(current)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Sort", "Exchange", "Window"))
+    kept = rows(current)
+    upserts.compact(spark, table, schema, ["id"], buckets=3)
+    assert rows(upserts.read_current(spark, table, schema, ["id"])) == kept
+    assert len(published.versions(published.Folder(spark, table))) == 1
+    assert len(list((tmp_path / "table" / "data").iterdir())) == 1
+
+
+def test_upserts_compare_versions_between_loads_and_touch_few_buckets(spark, tmp_path):
+    schema, table = "id long, seq long, v string", str(tmp_path / "t")
+    typed = spark.createDataFrame([], schema).schema
+
+    def load(data, n):
+        upserts.append_load(spark.createDataFrame(data, typed), n, table, ["id"], ["seq"], buckets=8)
+
+    def current():
+        return rows(upserts.read_current(spark, table, typed))
+
+    def buckets():
+        return published.manifest(published.Folder(spark, table))[1]["buckets"]
+
+    load([(i, 10, "a") for i in range(40)] + [(None, 1, "n")], 1)
+    first = buckets()
+    load([(3, 5, "older"), (4, None, "undated")], 2)  # late rows with an older version, or none
+    assert current() == sorted([(i, 10, "a") for i in range(40)] + [(None, 1, "n")], key=repr)
+    load([(3, 10, "same"), (None, 2, "m")], 3)  # at equal versions the later load
+    assert (3, 10, "same") in current() and (None, 2, "m") in current() and len(current()) == 41
+    load([(3, 10, "a")], 1)  # an earlier load that runs again
+    assert (3, 10, "same") in current()
+    changed = {b for b, at in buckets().items() if first.get(b) != at}
+    assert 0 < len(changed) < len(first)
+    load([], 4)
+    assert len(current()) == 41
+
+
+def test_a_load_that_dies_before_it_is_published_leaves_the_table(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "id long, seq long, v string")
+    new = spark.createDataFrame([(1, 2, "A"), (3, 2, "c")], old.schema)
+    upserts.append_load(old, 1, table, ["id"], ["seq"])
+
+    def die(*_):
+        raise OSError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upserts, "publish", die)
+        with pytest.raises(OSError):
+            upserts.append_load(new, 2, table, ["id"], ["seq"])
+    assert rows(upserts.read_current(spark, table, old.schema)) == [(1, 1, "a"), (2, 1, "b")]
+    upserts.append_load(new, 2, table, ["id"], ["seq"])
+    assert rows(upserts.read_current(spark, table, old.schema)) == [(1, 2, "A"), (2, 1, "b"), (3, 2, "c")]
+
+
+def test_two_writers_cannot_publish_the_same_version(spark, tmp_path):
+    folder = published.Folder(spark, str(tmp_path / "t"))
+    assert published.publish(folder, 0, {"table": "x"}) == 1
+    with pytest.raises(published.VersionConflict):
+        published.publish(folder, 0, {"table": "y"})
+    assert published.manifest(folder) == (1, {"table": "x"})
+
+
+def test_a_failed_replace_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    published.replace(spark.range(5), root)
+    broken = spark.range(100).repartition(4).withColumn("id", F.when(F.col("id") == 77, F.raise_error(F.lit("midway")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="midway"):
+        published.replace(broken, root)
+    assert rows(published.open_table(spark, root)) == [(i,) for i in range(5)]
+    reading = published.open_table(spark, root)
+    published.replace(spark.range(7), root)  # over its own old version as well
+    assert reading.count() == 5 and published.open_table(spark, root).count() == 7
+    published.sweep(published.Folder(spark, root), "data", ["table"], keep=1)
+    assert published.open_table(spark, root).count() == 7 and len(list((tmp_path / "mart" / "data").iterdir())) == 1
+    with pytest.raises(FileNotFoundError):
+        published.open_table(spark, str(tmp_path / "none"))
 
 
 def test_shared_results_lie_in_the_callers_folder(spark, tmp_path):
