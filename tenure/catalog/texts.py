@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenure.catalog.domain_sql import sql
 from tenure.catalog.registry import query
-from tenure.functions import names, text
+from tenure.functions import mentions, names, text
 from tenure.operators import html, matching
 from tenure.plans import adapters as ad
 from tenure.sources.staging import stage_recent_moves
@@ -78,7 +78,7 @@ def href_title(t):
 
 _CELL = """CASE o_orderkey % 8 WHEN 0 THEN '€' || (o_orderkey % 90) || 'M + €10M variables' WHEN 1 THEN '£' || (o_orderkey % 70) || '.5 million'
     WHEN 2 THEN 'Free transfer' WHEN 3 THEN 'Loan (€2m)' WHEN 4 THEN 'None' WHEN 5 THEN '-' WHEN 6 THEN '' ELSE 'Undisclosed' END"""
-_AMOUNT = r"(?i)([€£$]\s?\d[\d,.]*\s?(?:million|m\b))"
+_AMOUNT = "(?i)" + text.AMOUNT
 
 
 def _fee_cells(t):
@@ -99,31 +99,45 @@ def infer_type(t):
     return _fee_cells(t).select("o_orderkey", text.infer_type(F.col("type"), F.col("cell")).alias("type"))
 
 
-_STRICT = (
-    r"(?i)(?:fee|signing|deal|transfer|clause)[^.]{0,80}?(?:reported to be|of|worth|around|approximately|for|understood to be)?"
-    r"[^.\d]{0,25}?([€£$]\s?\d[\d,.]*\s?(?:million|m\b))"
-)
+_STRICT = "(?i)" + text.AMOUNT_IN_CONTEXT
 
 
-@query(rf"""
+_TERMS = ["and", "an", "der", "die", "que", "ent"]
+# Each term splits the text; the pieces' lengths give the places of its mentions. A term must not overlap itself.
+_MENTIONS = rf"""
     WITH told AS (
         SELECT doc_id, replace(text, ', ', ', for a fee of £' || (doc_id % 89) || '.2m, or €' || (doc_id % 71) || ' million, ') AS body FROM documents),
+    asked AS (SELECT doc_id, body, term FROM told, (SELECT unnest({{terms}}) AS term)),
     pieces AS (
-        SELECT doc_id, body, unnest(string_split(body, 'and')) AS piece, generate_subscripts(string_split(body, 'and'), 1) AS n FROM told),
+        SELECT doc_id, term, body, unnest(string_split(body, term)) AS piece, generate_subscripts(string_split(body, term), 1) AS n FROM asked),
     mentions AS (
-        SELECT doc_id, body, n, sum(length(piece)) OVER w + 3 * (n - 1) AS idx, count(*) OVER (PARTITION BY doc_id) AS pieces
-        FROM pieces WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
+        SELECT doc_id, term, body, n, sum(length(piece)) OVER w + length(term) * (n - 1) AS idx, count(*) OVER (PARTITION BY doc_id, term) AS pieces
+        FROM pieces WINDOW w AS (PARTITION BY doc_id, term ORDER BY n)),
     windows AS (
-        SELECT doc_id, n, body[cast(greatest(idx - 100, 0) + 1 AS bigint):cast(idx + 400 AS bigint)] AS w FROM mentions WHERE n < pieces),
+        SELECT doc_id, term, n, body[cast(greatest(idx - 100, 0) + 1 AS bigint):cast(idx + 400 AS bigint)] AS w FROM mentions WHERE n < pieces),
     hits AS (
-        SELECT doc_id, n, coalesce(nullif(regexp_extract(w, '{_STRICT}', 1), ''), nullif(regexp_extract(w, '{_AMOUNT}', 1), '')) AS hit FROM windows)
-    SELECT doc_id, h.fee FROM documents LEFT JOIN (
-        SELECT doc_id, arg_min(hit, n) AS fee FROM hits WHERE hit IS NOT NULL GROUP BY doc_id) h USING (doc_id)""")
-def mention_window_extract(t):
+        SELECT doc_id, term, n, coalesce(nullif(regexp_extract(w, '{_STRICT}', 1), ''), nullif(regexp_extract(w, '{_AMOUNT}', 1), '')) AS hit FROM windows),
+    fees AS (SELECT doc_id, term, arg_min(hit, n) AS fee FROM hits WHERE hit IS NOT NULL GROUP BY doc_id, term)
+    """
+
+
+def _told():
     key = F.col("doc_id")
     told = F.concat(F.lit(", for a fee of £"), (key % 89).cast("string"), F.lit(".2m, or €"), (key % 71).cast("string"), F.lit(" million, "))
-    body = F.replace(F.col("text"), F.lit(", "), told)
-    return t["documents"].select("doc_id", text.mention_amount(body, F.lit("and")).alias("fee"))
+    return F.replace(F.col("text"), F.lit(", "), told)
+
+
+@query(_MENTIONS.replace("{terms}", str(["and"])) + "SELECT doc_id, fee FROM documents LEFT JOIN fees USING (doc_id)")
+def mention_window_extract(t):
+    found = mentions.mention_amounts(_told(), F.array(F.lit("and")))
+    return t["documents"].select("doc_id", F.try_element_at(found, F.lit(1))["amount"].alias("fee"))
+
+
+@query(_MENTIONS.replace("{terms}", str(_TERMS)) + "SELECT doc_id, term, fee FROM fees")
+def mention_amounts(t):
+    """Several terms of one text, one of them the beginning of another, in one pass over each text."""
+    found = mentions.mention_amounts(_told(), F.array(*map(F.lit, _TERMS)))
+    return t["documents"].select("doc_id", F.inline(found)).withColumnRenamed("amount", "fee")
 
 
 _NAME = "'FC ' || p_name || ' (' || p_type || ') Manchester ' || CASE WHEN p_size % 3 = 0 THEN 'U21' ELSE 'Club' END"

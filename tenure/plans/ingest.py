@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tenure.functions.text import mention_amount
+from tenure.functions.mentions import mention_amounts
 from tenure.operators import html
 from tenure.operators.joins import attach, keep_missing
 from tenure.operators.loads import LOAD_ID, stamp
@@ -92,10 +92,11 @@ def page_moves(hits: DataFrame, sections: DataFrame, articles: DataFrame) -> Dat
     pages = attach(picked.select("page_id").distinct(), first, ["page_id"], "inner")
     rows = html.move_rows(html.html_rows(pages, ["page_id"], "html"), ["page_id"])
     moves = attach(rows, picked, ["page_id"], "inner")
-    # Each (player article, destination) is read once, however many moves ask for it.
-    asked = html.needs_prose_fee(moves, "club_name").select("player_wiki_title", "destination_club").distinct()
+    # Each player article is read once, for all destinations that moves ask it for.
+    asked = html.needs_prose_fee(moves, "club_name").groupBy("player_wiki_title").agg(F.collect_set("destination_club").alias("__clubs"))
     told = attach(asked, articles.select("title", "text"), {"player_wiki_title": "title"}, "inner")
-    fees = told.select("player_wiki_title", "destination_club", mention_amount(F.col("text"), F.col("destination_club")).alias("__fee"))
+    each = told.select("player_wiki_title", F.explode(mention_amounts(F.col("text"), F.col("__clubs"))).alias("__told"))
+    fees = each.select("player_wiki_title", F.col("__told.term").alias("destination_club"), F.col("__told.amount").alias("__fee"))
     destination = F.when(F.col("direction") == "in", F.col("club_name")).otherwise(F.col("other_club_name"))
     marked = moves.withColumn("destination_club", destination).withColumn("__open", html.prose_fee_wanted())
     priced = attach(marked, fees, ["player_wiki_title", "destination_club"], "left").withColumn(

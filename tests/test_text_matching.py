@@ -7,7 +7,7 @@ import pytest
 from tests.helpers import rows
 from pyspark.sql import functions as F
 
-from tenure.functions import names, text
+from tenure.functions import mentions, names, text
 from tenure.functions.similarity import best_partners, lcs_length, token_set_ratio
 from tenure.operators import html, matching
 from tenure.sources.staging import stage_recent_moves
@@ -101,6 +101,28 @@ def test_candidate_title(spark):
     assert rows(matching.pick_candidate(df, ["q"], "rank", "title", "season", "name", top=3), "q", "rank") == [(1, 2)]
 
 
+def test_amounts_near_many_mentions_equal_one_by_one(spark):
+    rng = random.Random(21)
+    terms = ["Porto", "Porto B", "Real Madrid", "Real", "Ma(d", "Sporting CP", "é.", "", None, "B"]
+    parts = [*[t for t in terms if t], "€5m", "£1.2 million", "for a fee of $30m", "fee", "nothing", "x" * 60, ". ", "\n", "€"]
+    data = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))) for i in range(60)] + [(60, None), (61, "")]
+    df = spark.createDataFrame(data, "i int, body string")
+    many = df.select("i", mentions.mention_amounts(F.col("body"), F.array(*[F.lit(t) for t in terms])).alias("found"))
+    got = {(r["i"], f["term"]): f["amount"] for r in many.collect() for f in r["found"]}
+    single = df.select("i", *[text.mention_amount(F.col("body"), F.lit(t)).alias(f"t{k}") for k, t in enumerate(terms) if t]).collect()
+    want = {(r["i"], t): r[f"t{k}"] for r in single for k, t in enumerate(terms) if t and r[f"t{k}"] is not None}
+    assert got == want and len(want) > 100
+
+
+def test_prefix_pattern_takes_the_longest_term():
+    import re
+
+    pattern = re.compile(mentions.prefix_pattern(["ab", "abcd", "abx", "b", "a.c"]))
+    assert [m.group() for m in pattern.finditer("abcd abx abc b a.c axc")] == ["abcd", "abx", "ab", "b", "a.c"]
+    long = "n" * 3000
+    assert re.compile(mentions.prefix_pattern([long, long + "x"])).search(long + "x").group() == long + "x"
+
+
 def test_first_section(spark):
     df = spark.createDataFrame([(1, ["History", "Summer transfers", "Transfers"]), (2, ["x", None]), (3, [])], "i int, h array<string>")
     assert rows(df.select("i", matching.first_section(F.col("h"), "transfer"))) == [(1, 1), (2, None), (3, None)]
