@@ -8,7 +8,8 @@ from tenure.catalog.domain_sql import sql
 from tenure.catalog.registry import query
 from tenure.operators import joins, loads, matching, quality
 from tenure.plans import adapters as ad
-from tenure.plans.checks import ADAPTER_CHECKS
+from tenure.plans import intermediate as im
+from tenure.plans.checks import ADAPTER_CHECKS, check_build
 from tenure.sources.readers import flatten
 from tenure.sources.staging import parse_spec, project
 
@@ -192,6 +193,73 @@ def dq_report(t):
     return quality.run_checks(tables, ADAPTER_CHECKS)
 
 
+# What the declared sets hold for the adapter tables, written out: table, check, columns, severity.
+_DECLARED = """
+    transfers unique transfer_id error | transfers not_null transfer_id error | transfers not_null player_id error
+    transfers non_negative market_value_in_eur error | transfers non_negative transfer_fee error
+    player_valuations unique player_valuation_id error | player_valuations not_null player_valuation_id error
+    player_valuations not_null player_id error | player_valuations not_null market_value_in_eur error
+    player_valuations non_negative market_value_in_eur error
+    games unique game_id error | games not_null game_id error
+    club_games not_null game_id error | club_games not_null club_id error
+    appearances unique appearance_id error | appearances not_null appearance_id error | appearances not_null game_id error
+    appearances not_null player_id error
+    ratings not_null clubelo_club error | ratings not_null clubelo_country error | ratings not_null elo error
+    ratings unique_combination clubelo_club,clubelo_country,rating_from_date error
+    ratings overlapping_periods clubelo_club,clubelo_country,rating_from_date,rating_to_date error
+    recent_moves not_null club_id error | recent_moves not_null player_name error | recent_moves not_null direction error
+    recent_moves accepted_values direction error | recent_moves unique_combination club_id,player_name,transfer_date,direction error
+    mapping unique club_id error | mapping not_null club_id error | mapping not_null clubelo_club error | mapping not_null clubelo_country error
+    scope unique competition_id error | scope not_null competition_id error | scope accepted_values champion_method error
+    champions not_null competition_id error | champions not_null season error | champions not_null title_type error
+    champions accepted_values title_type error
+    fct_match unique match_id error | fct_match not_null match_id error | fct_match not_null home_team_id error | fct_match not_null away_team_id error
+    fct_match relationships home_team_id error | fct_match relationships away_team_id error
+    dim_team unique team_id error | dim_team not_null team_id error"""
+_ACCEPTED = {"direction": "'in', 'out'", "champion_method": "'league_table', 'cup_final'", "title_type": "'league', 'cup'"}
+
+
+def _failures(table: str, check: str, columns: str) -> str:
+    if check == "not_null":
+        return f"SELECT count(*) FROM {table} WHERE {columns} IS NULL"
+    if check == "non_negative":
+        return f"SELECT count(*) FROM {table} WHERE {columns} < 0"
+    if check == "accepted_values":
+        return f"SELECT count(*) FROM {table} WHERE {columns} NOT IN ({_ACCEPTED[columns]})"
+    if check == "relationships":
+        return f"SELECT count(*) FROM {table} WHERE {columns} NOT IN (SELECT team_id FROM dim_team)"
+    if check == "overlapping_periods":
+        return f"""SELECT count(*) FROM (SELECT rating_from_date, max(coalesce(rating_to_date, DATE '9999-12-31')) OVER (PARTITION BY clubelo_club, clubelo_country
+            ORDER BY rating_from_date, rating_to_date NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {table}) WHERE reach >= rating_from_date"""
+    some = f" WHERE {columns} IS NOT NULL" if check == "unique" else ""
+    return f"SELECT count(*) FROM (SELECT {columns} FROM {table}{some} GROUP BY {columns} HAVING count(*) > 1)"
+
+
+def _declared_sql() -> str:
+    rows = [entry.split() for line in _DECLARED.splitlines() for entry in line.split("|") if entry.strip()]
+    named = {"champions": "season_champions"}
+    counted = " UNION ALL ".join(
+        f"""SELECT '{named.get(t, t)}' AS "table", '{c}' AS "check", '{cols}' AS columns, '{severity}' AS severity, ({_failures(t, c, cols)}) AS failures"""
+        for t, c, cols, severity in rows
+    )
+    marts = """fct_match AS (SELECT o_orderkey AS match_id, o_custkey % 30 AS home_team_id, nullif(o_custkey % 31, 30) AS away_team_id FROM orders),
+        dim_team AS (SELECT n_nationkey AS team_id FROM nation)"""
+    tables = ["transfers", "player_valuations", "games", "club_games", "appearances", "ratings", "recent_moves", "mapping", "scope", "champions"]
+    return sql(tables, f", {marts} SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM ({counted})")
+
+
+@query(_declared_sql())
+def dq_declared(t):
+    """All declared checks over every adapter table, a seed, an intermediate model and two marts, in one report."""
+    names = ["transfers", "player_valuations", "games", "club_games", "appearances", "ratings", "recent_moves", "mapping", "scope"]
+    built = ad.domain(t, *names)
+    built["season_champions"] = im.season_champions(built["scope"], built["games"], built["club_games"])
+    cust = F.col("o_custkey")
+    built["fct_match"] = t["orders"].select(F.col("o_orderkey").alias("match_id"), (cust % 30).alias("home_team_id"), F.nullif(cust % 31, F.lit(30)).alias("away_team_id"))
+    built["dim_team"] = t["nation"].select(F.col("n_nationkey").alias("team_id"))
+    return check_build(built)
+
+
 @query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def join_inner(t):
     nations = t["nation"].select("n_nationkey", "n_name")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tenure.operators.joins import keep_missing
@@ -75,40 +75,72 @@ class Checks:
     periods: list[tuple[list[str], str, str]] = field(default_factory=list)
 
 
+def _row_checks(spec: Checks) -> list[tuple[str, str, Column]]:
+    """(check, column, condition that holds for a failing row) of the checks that look at one row."""
+    out = [("not_null", c, F.col(c).isNull()) for c in spec.not_null]
+    out += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in spec.accepted.items()]
+    return out + [("non_negative", c, F.col(c) < 0) for c in spec.non_negative]
+
+
+def _text_key(columns: Sequence[str]) -> Column:
+    """One text that is equal for equal columns only; NULLs count as equal."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
 def run_checks(tables: dict[str, DataFrame], specs: dict[str, Checks]) -> DataFrame:
     """One row per check: table, check, columns, severity, failures, status.
 
-    All per-row checks of a table share one scan; each key check is its own aggregate or anti-join.
+    A table is scanned once: each row is expanded to one small row per key it takes part in (as a key to be unique, as
+    a foreign key, as the parent of one) and per row check it fails. Two aggregations, per key and per check,
+    settle all checks of all tables together. Only periods need a scan of their own, as they look at neighbours.
     """
-    results = []
+    listed: list[tuple[int, str, str, str, str]] = []
+    expanded: dict[str, list[Column]] = {}
+    periods: list[DataFrame] = []
+
+    def check(table: str, name: str, columns: str, severity: str = "error") -> int:
+        listed.append((len(listed), table, name, columns, severity))
+        return len(listed) - 1
 
-    def result(df: DataFrame, table: str, check: str, columns: str, severity: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(table).alias("table"), F.lit(check).alias("check"), F.lit(columns).alias("columns"),
-            F.lit(severity).alias("severity"), "failures",
-        )
+    def emit(table: str, number: int, kind: str, key: Column, rows: int, parents: int, when: Column) -> None:
+        made = F.struct(F.lit(number).alias("id"), F.lit(kind).alias("kind"), key.cast("string").alias("key"), F.lit(rows).alias("rows"), F.lit(parents).alias("parents"))
+        expanded.setdefault(table, []).append(F.when(when, made))
 
     for table, spec in specs.items():
-        df = tables[table]
-        per_row: list[tuple[str, str, Column]] = [("not_null", c, F.col(c).isNull()) for c in spec.not_null]
-        per_row += [("accepted_values", c, ~F.col(c).isin(*values)) for c, values in spec.accepted.items()]
-        per_row += [("non_negative", c, F.col(c) < 0) for c in spec.non_negative]
-        if per_row:
-            one = df.agg(*[F.count_if(bad).alias(f"__f{i}") for i, (_, _, bad) in enumerate(per_row)])
-            rows = F.array(*[
-                F.struct(F.lit(check).alias("check"), F.lit(c).alias("columns"), F.col(f"__f{i}").alias("failures"))
-                for i, (check, c, _) in enumerate(per_row)
-            ])
-            results.append(
-                one.select(F.inline(rows)).select(F.lit(table).alias("table"), "check", "columns", F.lit("error").alias("severity"), "failures")
-            )
-        for c in spec.unique:
-            results.append(result(not_unique(df, c), table, "unique", c, "error"))
-        for cs in spec.combinations:
-            results.append(result(not_unique_combination(df, cs), table, "unique_combination", ",".join(cs), "error"))
+        for name, column, bad in _row_checks(spec):
+            emit(table, check(table, name, column), "row", F.lit(None), 1, 0, bad)
+        for column in spec.unique:
+            emit(table, check(table, "unique", column), "key", F.col(column), 1, 0, F.col(column).isNotNull())
+        for columns in spec.combinations:
+            emit(table, check(table, "unique_combination", ",".join(columns)), "key", _text_key(columns), 1, 0, F.lit(True))
+        for foreign, parent, key, severity in spec.relationships:
+            number = check(table, "relationships", foreign, severity)
+            # Both sides as the type of the parent's key; what does not fit it has no parent.
+            own = F.coalesce(F.col(foreign).try_cast(tables[parent].schema[key].dataType).cast("string"), F.concat(F.lit("?"), F.col(foreign).cast("string")))
+            emit(table, number, "link", own, 1, 0, F.col(foreign).isNotNull())
+            emit(parent, number, "link", F.col(key), 0, 1, F.col(key).isNotNull())
         for keys, start, end in spec.periods:
-            results.append(result(overlapping_periods(df, keys, start, end), table, "overlapping_periods", ",".join([*keys, start, end]), "error"))
-        for fk, parent, key, severity in spec.relationships:
-            results.append(result(orphans(df, fk, tables[parent], key), table, "relationships", fk, severity))
-    report = reduce(lambda a, b: a.unionByName(b), results)
+            number = check(table, "overlapping_periods", ",".join([*keys, start, end]))
+            periods.append(overlapping_periods(tables[table], keys, start, end).agg(F.count(F.lit(1)).alias("failures")).select(F.lit(number).alias("id"), "failures"))
+    counts = list(periods)
+    if expanded:
+        rows = [tables[t].select(F.inline(F.filter(F.array(*made), lambda m: m.isNotNull()))) for t, made in expanded.items()]
+        per_key = reduce(DataFrame.unionByName, rows).groupBy("id", "kind", "key").agg(F.sum("rows").alias("rows"), F.max("parents").alias("parents"))
+        failing = F.when(F.col("kind") == "row", F.col("rows")).when(F.col("kind") == "key", (F.col("rows") > 1).cast("long")).when(F.col("parents") == 0, F.col("rows"))
+        counts.append(per_key.groupBy("id").agg(F.sum(failing).alias("failures")))
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame(listed, "id int, table string, check string, columns string, severity string")
+    report = names.join(reduce(DataFrame.unionByName, counts), "id", "left").drop("id") if counts else names.drop("id").withColumn("failures", F.lit(0))
+    report = report.withColumn("failures", F.coalesce("failures", F.lit(0)).cast("long"))
     return report.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity")))
+
+
+def observed(df: DataFrame, spec: Checks, name: str = "checks") -> tuple[DataFrame, Observation]:
+    """`df` that counts the failures of its row checks while it is written, and where to read them afterwards.
+
+    The observation maps `<check>:<column>` to the number of failing rows; no scan is made for it.
+    """
+    watch = Observation(name)
+    counts = [F.count_if(bad).alias(f"{check}:{column}") for check, column, bad in _row_checks(spec)]
+    return df.observe(watch, F.count(F.lit(1)).alias("rows"), *counts), watch

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tenure.operators.quality import Checks
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+
+from tenure.operators.quality import Checks, run_checks
 
 
 def _keyed(*columns: str, **more) -> Checks:
@@ -85,3 +89,27 @@ ADAPTER_CHECKS = {
     ),
     "games": _keyed("game_id", combinations=[["competition_id", "season"]]),
 }
+
+
+def for_columns(spec: Checks, table: DataFrame, tables: dict[str, DataFrame]) -> Checks:
+    """The checks of a set whose columns and parents are there."""
+    have = set(table.columns)
+    return replace(
+        spec,
+        unique=[c for c in spec.unique if c in have],
+        not_null=[c for c in spec.not_null if c in have],
+        accepted={c: v for c, v in spec.accepted.items() if c in have},
+        relationships=[r for r in spec.relationships if r[0] in have and r[1] in tables and r[2] in tables[r[1]].columns],
+        combinations=[cs for cs in spec.combinations if have.issuperset(cs)],
+        non_negative=[c for c in spec.non_negative if c in have],
+        periods=[p for p in spec.periods if have.issuperset([*p[0], p[1], p[2]])],
+    )
+
+
+def check_build(tables: dict[str, DataFrame]) -> DataFrame:
+    """The report of all declared checks of the tables given, staged, seed, intermediate or mart, by their names.
+
+    Run after a build, over its written tables; rows with the status 'error' should stop what follows.
+    """
+    declared = {**STAGING_CHECKS, **SEED_CHECKS, **INTERMEDIATE_CHECKS, **MART_CHECKS}
+    return run_checks(tables, {name: for_columns(declared[name], df, tables) for name, df in tables.items() if name in declared})

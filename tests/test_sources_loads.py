@@ -151,6 +151,36 @@ def test_checks_report(spark):
                    ("unique", "id"): (1, "error"), ("unique_combination", "id,kind"): (0, "pass"), ("relationships", "parent"): (1, "warn")}
 
 
+def test_all_checks_of_a_table_take_one_scan(spark, tmp_path):
+    for name, n in (("child", 50), ("parent", 20)):
+        spark.range(n).select("id", (F.col("id") % 30).alias("up"), F.lit("x").alias("kind")).write.parquet(str(tmp_path / name))
+    tables = {name: spark.read.parquet(str(tmp_path / name)) for name in ("child", "parent")}
+    specs = {
+        "child": quality.Checks(unique=["id", "up"], not_null=["id", "kind"], accepted={"kind": ["y"]}, combinations=[["up", "kind"]], relationships=[("up", "parent", "id", "warn")]),
+        "parent": quality.Checks(unique=["id"], relationships=[("up", "child", "id", "error")]),
+    }
+    report = quality.run_checks(tables, specs)
+    got = {(r["table"], r["check"], r["columns"]): r["failures"] for r in report.collect()}
+    assert got == {
+        ("child", "unique", "id"): 0, ("child", "unique", "up"): 20, ("child", "not_null", "id"): 0, ("child", "not_null", "kind"): 0, ("child", "accepted_values", "kind"): 50,
+        ("child", "unique_combination", "up,kind"): 20, ("child", "relationships", "up"): 10, ("parent", "unique", "id"): 0, ("parent", "relationships", "up"): 0,
+    }
+    assert report._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 2
+
+
+def test_row_checks_are_counted_by_the_write_itself(spark, tmp_path):
+    df = spark.range(10).withColumn("v", F.when(F.col("id") > 6, F.col("id") - 8))
+    watched, watch = quality.observed(df, quality.Checks(not_null=["v"], non_negative=["v"]))
+    watched.write.parquet(str(tmp_path / "t"))
+    assert watch.get == {"rows": 10, "not_null:v": 7, "non_negative:v": 1}
+
+
+def test_links_compare_by_value_across_types(spark):
+    child = spark.createDataFrame([("1",), ("01",), ("x",), (None,)], "up string")
+    report = quality.run_checks({"c": child, "p": spark.range(3)}, {"c": quality.Checks(relationships=[("up", "p", "id", "error")])})
+    assert report.first()["failures"] == 1
+
+
 def test_declared_checks_cover_all_tables():
     groups = [checks.STAGING_CHECKS, checks.SEED_CHECKS, checks.INTERMEDIATE_CHECKS, checks.MART_CHECKS]
     specs = [s for g in groups for s in g.values()]
