@@ -95,11 +95,12 @@ def spectrum(
 ) -> DataFrame:
     """The k best and the k worst rows, labelled by the sign of `by`.
 
-    With fewer than 2k rows a row is listed at both ends, as in a UNION ALL of two limits.
+    With fewer than 2k rows a row is listed at both ends, as in a UNION ALL of two limits. The input is read once: each
+    row stands for both ends, and each task keeps its first k of either before the shuffle (WindowGroupLimit).
     """
-    known = df.where(F.col(by).isNotNull())
+    ends = df.where(F.col(by).isNotNull()).withColumn("__end", F.explode(F.array(F.lit(0), F.lit(1))))
     ties = [F.col(t).asc_nulls_last() for t in tiebreak]
-    best = topk(known, [F.col(by).desc(), *ties], k)
-    worst = topk(known, [F.col(by).asc(), *ties], k)
+    order = [F.when(F.col("__end") == 0, F.col(by)).desc(), F.when(F.col("__end") == 1, F.col(by)).asc(), *ties]
+    placed = ends.withColumn("__rn", F.row_number().over(Window.partitionBy("__end").orderBy(*order)))
     positive, negative = labels
-    return best.unionByName(worst).withColumn(label, F.when(F.col(by) >= 0, positive).otherwise(negative))
+    return placed.where(F.col("__rn") <= k).drop("__end", "__rn").withColumn(label, F.when(F.col(by) >= 0, positive).otherwise(negative))

@@ -32,6 +32,14 @@ def test_spectrum_lists_both_ends_and_labels_by_sign(spark):
     assert ranking.spectrum(df, "x", 6, ["id"], ("up", "down"), "sign").count() == 8
 
 
+def test_spectrum_reads_its_input_once(spark, tmp_path):
+    spark.range(1000).select("id", (F.col("id") * 37 % 1000 - 500).alias("x")).write.parquet(str(tmp_path / "t"))
+    out = ranking.spectrum(spark.read.parquet(str(tmp_path / "t")), "x", 3, ["id"], ("up", "down"), "sign")
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("WindowGroupLimit") >= 2
+    assert rows(out, "x") == [(-498,), (-499,), (-500,), (497,), (498,), (499,)]
+
+
 def test_dedup_keeps_the_most_complete_and_the_undated(spark):
     d = dt.date(2026, 6, 15)
     df = spark.createDataFrame(
