@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tenure.catalog.domain_sql import sql
@@ -193,6 +195,17 @@ def dq_report(t):
     return quality.run_checks(tables, ADAPTER_CHECKS)
 
 
+_SOURCES = ["customer", "documents", "events", "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]
+
+
+@query("SELECT unnest(" + str(_SOURCES) + ") AS source, 'pass' AS status")
+def freshness_by_files(t):
+    """The tables against the day of the newest of them; they were written together."""
+    newest = reduce(lambda a, b: a.unionByName(b), [loads.newest_file(t.spark, f"{t.folder}/{name}.parquet") for name in _SOURCES])
+    as_of = newest.agg(F.max("last_load")).first()[0]
+    return loads.file_freshness(t.spark, {name: (f"{t.folder}/{name}.parquet", 7, 30) for name in _SOURCES}, F.lit(as_of)).select("source", "status")
+
+
 # What the declared sets hold for the adapter tables, written out: table, check, columns, severity.
 _DECLARED = """
     transfers unique transfer_id error | transfers not_null transfer_id error | transfers not_null player_id error

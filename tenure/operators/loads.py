@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenure.operators.joins import attach, keep_missing
@@ -93,6 +93,25 @@ def freshness(loads: DataFrame, source: str, load_ts: str, as_of: Column, warn_d
     )
 
 
+def newest_file(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the newest file time below a path (`last_load`) and the number of files. Only the listing is read, no data."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.max("modificationTime").alias("last_load"), F.count(F.lit(1)).alias("n_files"))
+
+
+def file_freshness(spark: SparkSession, sources: dict[str, tuple[str, int, int]], as_of: Column) -> DataFrame:
+    """One row per source: source, last_load, n_files, age_days, status; `sources` gives path, warn and error days.
+
+    The age is that of the newest file, so a source whose load failed grows old whatever its rows say.
+    """
+    parts = []
+    for source, (path, warn, error) in sources.items():
+        age = (F.unix_timestamp(as_of.cast("timestamp")) - F.unix_timestamp("last_load")) / 86400.0
+        status = F.when(F.col("last_load").isNull() | (age > error), "error").when(age > warn, "warn").otherwise("pass")
+        parts.append(newest_file(spark, path).select(F.lit(source).alias("source"), "last_load", "n_files", age.alias("age_days"), status.alias("status")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, rejected); a rejected row lists the names of the rules it breaks.
 

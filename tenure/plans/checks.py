@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from tenure.operators.loads import file_freshness
 from tenure.operators.quality import Checks, run_checks
 
 
@@ -113,3 +114,8 @@ def check_build(tables: dict[str, DataFrame]) -> DataFrame:
     """
     declared = {**STAGING_CHECKS, **SEED_CHECKS, **INTERMEDIATE_CHECKS, **MART_CHECKS}
     return run_checks(tables, {name: for_columns(declared[name], df, tables) for name, df in tables.items() if name in declared})
+
+
+def source_freshness(spark: SparkSession, folders: dict[str, str], as_of: Column) -> DataFrame:
+    """The freshness of each source group by its files, judged by `FRESHNESS_DAYS`; `folders` maps a group to its folder."""
+    return file_freshness(spark, {group: (folder, *FRESHNESS_DAYS[group]) for group, folder in folders.items()}, as_of)

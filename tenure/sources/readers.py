@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,22 +58,37 @@ RESULTS_SCHEMAS = {
 }
 
 
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by their header, read in one distributed pass over the lines; files without a line are left out."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("line"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():  # a row per file
+        names = next(csv.reader([row["header"].lstrip("\ufeff")]))
+        found.setdefault(tuple(n.strip() for n in names), []).append(unquote(row["file"]))
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """CSV files as text columns, matched by header name; malformed lines are kept in `_corrupt_record`.
 
-    The header of the files decides the order of the columns, so it is read once from the first line. A file of
-    the folder with another header fails the read rather than being read shifted.
+    Each file may have its own order of columns and more of them: files with one header are read together by it, and
+    the groups are united by name. A file that lacks one of `columns` fails the read.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
-    schema = StructType([StructField(n, StringType()) for n in header] + [StructField(CORRUPT, StringType())])
-    rows = (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).option("escape", '"').csv(path)
-    )
-    missing = [c for c in columns if c not in header]
-    if missing:
-        raise ValueError(f"{path} lacks columns {missing}")
-    return rows.select(*columns, CORRUPT)
+    parts = []
+    for header, files in headers(spark, path).items():
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"{files[0]} lacks columns {missing}")
+        schema = StructType([StructField(n, StringType()) for n in header] + [StructField(CORRUPT, StringType())])
+        rows = (
+            spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).option("escape", '"').csv(files)
+        )
+        parts.append(rows.select(*columns, CORRUPT))
+    if not parts:
+        return spark.createDataFrame([], StructType([StructField(n, StringType()) for n in [*columns, CORRUPT]]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_market(spark: SparkSession, folder: str, table: str) -> DataFrame:

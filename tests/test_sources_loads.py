@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
@@ -124,6 +125,36 @@ def test_stamp_and_freshness(spark):
         assert loads.freshness(timed, "source", "at", as_of, *checks.FRESHNESS_DAYS["ratings"]).first()["status"] == status
 
 
+def test_csv_files_of_a_table_may_differ_in_their_headers(spark, tmp_path):
+    folder = tmp_path / "odd name.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name,n\n1,x,10\n2,y\n")
+    (folder / "b.csv").write_text('n,"id",name\n30,3,"z, ""q"""\n')
+    (folder / "c.csv").write_text("name,extra,n,id\nw,ignored,40,4\n")
+    (folder / "d.csv").write_text("")
+    (folder / "e.csv").write_text("id,name,n\n")
+    got = readers.read_csv(spark, str(folder), ["id", "name", "n"])
+    assert rows(got.where("_corrupt_record is null"), "id", "name", "n") == [("1", "x", "10"), ("3", 'z, "q"', "30"), ("4", "w", "40")]
+    assert [(r["id"], r["_corrupt_record"]) for r in got.collect() if r["_corrupt_record"]] == [("2", "2,y")]
+    assert sorted(len(files) for files in readers.headers(spark, str(folder)).values()) == [1, 1, 2]
+    (folder / "f.csv").write_text("id,n\n5,50\n")
+    with pytest.raises(ValueError, match="name"):
+        readers.read_csv(spark, str(folder), ["id", "name", "n"])
+
+
+def test_freshness_by_files_reads_no_data(spark, tmp_path):
+    now = 1_700_000_000
+    for name, days in (("results", 2), ("market", 20), ("ratings", 1)):
+        (tmp_path / name / "load=1").mkdir(parents=True)
+        for i in range(2):
+            file = tmp_path / name / "load=1" / f"part-{i}.parquet"
+            file.write_bytes(b"not read")
+            os.utime(file, (now - 86400 * (days + 5 * i),) * 2)
+    report = checks.source_freshness(spark, {n: str(tmp_path / n) for n in ("results", "market", "ratings")}, F.timestamp_seconds(F.lit(now)))
+    assert rows(report, "source", "age_days", "status", "n_files") == [("market", 20.0, "error", 2), ("ratings", 1.0, "pass", 2), ("results", 2.0, "warn", 2)]
+    assert "content" not in report._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stale_targets(spark):
     clubs = spark.createDataFrame([(1, "Fresh", 1800.0), (2, "Old", 1800.0), (3, "Never", 1700.0), (4, "Weak", 1600.0), (5, "Unrated", None)], "id long, name string, elo double")
     facts = spark.createDataFrame([(1, dt.date(2026, 5, 1)), (2, dt.date(2025, 1, 1)), (2, dt.date(2024, 1, 1))], "club long, at date")
