@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -20,6 +20,7 @@ from tenure.functions.text import (
     surrogate_key,
 )
 from tenure.operators.ranking import dedup_most_complete
+from tenure.sources.published import open_table, replace
 
 
 @dataclass(frozen=True)
@@ -160,6 +161,61 @@ def strict_cast(df: DataFrame, column: str, kind: str) -> Column:
     return c.cast(kind)
 
 
+def reject_reason(df: DataFrame, item: Item) -> Column:
+    """Why a cell does not fit its column; NULL if it fits or is NULL."""
+    c = F.col(item.source)
+    text = F.trim(c.cast("string"))
+    if item.type in ("int", "long") and isinstance(df.schema[item.source].dataType, StringType):
+        fits = F.regexp_replace(F.trim(c), r"(?<=[0-9])\.0*$", "").try_cast(item.type).isNotNull()
+        reason = F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), "out of range").otherwise("not a whole number")
+    else:
+        fits = c.try_cast(item.type).isNotNull()
+        reason = F.lit({"double": "not a number", "boolean": "not a boolean", "date": "not a date", "timestamp": "not a timestamp"}.get(item.type, f"not of type {item.type}"))
+    return F.when(c.isNotNull() & ~fits, reason)
+
+
+def project_split(df: DataFrame, spec: list[Item], keys: dict[str, Column] | None = None) -> DataFrame:
+    """Rename and cast by spec in one pass; a cell that does not fit is NULL and listed in `rejects` as (column, text, reason).
+
+    Rows with an empty list are the good ones. Written once with `write_split`, good and rejected rows are apart without
+    another scan. `project` is the strict form, which fails the job instead.
+    """
+    marks = [
+        F.when(reject_reason(df, i).isNotNull(), F.struct(F.lit(i.name).alias("column"), F.col(i.source).cast("string").alias("text"), reject_reason(df, i).alias("reason")))
+        for i in spec if i.type != "string"
+    ]
+    rejects = F.filter(F.array(*marks), lambda m: m.isNotNull()) if marks else F.array().cast("array<struct<column:string,text:string,reason:string>>")
+    # What does not fit is taken out before the strict cast, so both forms read a cell alike.
+    safe = df.withColumns({f"__cell{n}": F.when(reject_reason(df, i).isNull(), F.col(i.source)) for n, i in enumerate(spec)})
+    return safe.select(
+        *[k.alias(n) for n, k in (keys or {}).items()],
+        *[strict_cast(safe, f"__cell{n}", i.type).alias(i.name) for n, i in enumerate(spec)], rejects.alias("rejects"),
+    )
+
+
+def stage_market_split(table: str, raw: DataFrame) -> DataFrame:
+    """`stage_market` that lists bad cells in `rejects` instead of failing."""
+    keys = {}
+    if table in HASH_KEYS:
+        name, sources = HASH_KEYS[table]
+        keys[name] = surrogate_key(*[F.col(c) for c in sources])
+    return project_split(raw, parse_spec(MARKET[table]), keys)
+
+
+def write_split(split: DataFrame, root: str) -> None:
+    """Publish a staged table with its rejects, good and rejected rows in folders of their own, by one write."""
+    replace(split.withColumn("rejected", F.size("rejects") > 0), root, ["rejected"])
+
+
+def good_rows(spark: SparkSession, root: str) -> DataFrame:
+    return open_table(spark, root).where("rejected = 'false'").drop("rejected", "rejects")
+
+
+def rejected_cells(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """keys..., column, text and reason of each bad cell."""
+    return open_table(spark, root).where("rejected = 'true'").select(*keys, F.inline("rejects"))
+
+
 def project(df: DataFrame, spec: list[Item]) -> DataFrame:
     """Rename and cast by spec."""
     return df.select(*[strict_cast(df, i.source, i.type).alias(i.name) for i in spec])

@@ -373,3 +373,25 @@ def test_overlapping_periods(spark):
     data = [("a", day(1), day(5)), ("a", day(6), day(9)), ("a", day(9), day(10)), ("b", day(1), None), ("b", day(3), day(4)), ("c", day(1), day(20)), ("c", day(2), day(3)), ("c", day(15), day(30))]
     df = spark.createDataFrame(data, "k string, s date, e date")
     assert {(r["k"], r["s"].day) for r in quality.overlapping_periods(df, ["k"], "s", "e").collect()} == {("a", 9), ("b", 3), ("c", 2), ("c", 15)}
+
+
+def test_bad_cells_are_listed_and_split_by_one_write(spark, tmp_path):
+    spec = {i.source: i for i in staging.parse_spec(staging.MARKET["appearances"])}
+    good = {c: SAMPLES[i.type] for c, i in spec.items()}
+    dates = [c for c, i in spec.items() if i.type == "date"]
+    ints = [c for c, i in spec.items() if i.type in ("int", "long")]
+    data = [good, {**good, dates[0]: "31.01.2020", ints[0]: "1e3"}, {**good, ints[1]: None}]
+    raw = spark.createDataFrame([tuple(d[c] for c in spec) for d in data], ", ".join(f"`{c}` string" for c in spec))
+    split = staging.stage_market_split("appearances", raw)
+    strict = staging.stage_market("appearances", raw.limit(1))
+    assert split.columns == [*strict.columns, "rejects"]
+    root = str(tmp_path / "appearances")
+    staging.write_split(split, root)
+    kept = staging.good_rows(spark, root)
+    assert kept.count() == 2 and kept.columns == strict.columns and rows(strict)[0] in [tuple(r) for r in kept.collect()]
+    name = {i.source: i.name for i in spec.values()}
+    assert sorted(rows(staging.rejected_cells(spark, root, []), "column", "text", "reason")) == sorted(
+        [(name[dates[0]], "31.01.2020", "not a date"), (name[ints[0]], "1e3", "not a whole number")])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        staging.stage_market("appearances", raw).collect()
+    assert staging.good_rows(spark, root)._jdf.queryExecution().executedPlan().toString().count("PartitionFilters: [isnotnull(rejected") == 1
