@@ -30,7 +30,9 @@ def worker_cache(name: str, stamp: str, make: Callable[[], object]) -> object:
     """
     held = sys.__dict__.setdefault("_tenure_llm", {})
     if (name, stamp) not in held:
-        held.clear()
+        if held:
+            held.clear()
+            give_back()
         held[name, stamp] = make()
     return held[name, stamp]
 

@@ -33,7 +33,7 @@ CUT_MASK = np.uint64((1 << 10) - 1)
 LEAST, MOST = 256, 8192
 #: New chunks and words of a worker after which it forgets those that it no longer meets.
 CHUNKS_KEPT = 4_000
-WORDS_KEPT = 150_000
+WORDS_KEPT = 60_000
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -90,6 +90,7 @@ class ChunkEncoder(WordBpe):
         super().__init__(vocabulary)
         tokens = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.names = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.string())
+        self.spec = None  # the vocabulary as text is not needed any more
         self.words = Recent(WORDS_KEPT)
         #: chunk -> (head fragment, ids inside, tail fragment or None if there is no white space)
         self.chunks = Recent(CHUNKS_KEPT)
@@ -170,24 +171,28 @@ def _encoder(vocabulary: str) -> ChunkEncoder:
     return worker_cache("chunk encoder", vocabulary, lambda: ChunkEncoder(vocabulary))
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, column: str) -> Iterator[pa.RecordBatch]:
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, column: str, decoded: bool) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(vocabulary)
     for block in blocks(batches, column):
         packed = encoder.encode_texts(*text_bytes(block.column(column)))
         sizes = [len(p) // 4 for p in packed]
         ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
-        yield pa.RecordBatch.from_arrays([*block.columns, pa.array(sizes, pa.int64()), ids], names=[*block.schema.names, "n_tokens", "token_ids"])
+        columns, names = [*block.columns, pa.array(sizes, pa.int64()), ids], [*block.schema.names, "n_tokens", "token_ids"]
+        if decoded:
+            columns, names = [*columns, _texts(encoder, ids)], [*names, "decoded"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "text", decoded: bool = False) -> DataFrame:
     """`docs` with n_tokens and token_ids, as the tokenizer gives them for the whole text.
 
-    A null or empty text has an empty list. Columns named n_tokens or token_ids are replaced. Every row is
+    With `decoded` also the text that `decode` makes of the ids, by the same worker, which then holds one tokenizer
+    and not two. A null or empty text has an empty list. Columns of these names are replaced. Every row is
     encoded by itself, so repeated rows, ties and empty tables need no rule.
     """
-    kept = docs.drop("n_tokens", "token_ids")
-    schema = StructType([*kept.schema.fields, StructField("n_tokens", LongType()), StructField("token_ids", ArrayType(IntegerType()))])
-    return kept.mapInArrow(lambda batches: _encoded(batches, vocabulary, column), schema)
+    fields = [StructField("n_tokens", LongType()), StructField("token_ids", ArrayType(IntegerType()))] + [StructField("decoded", StringType())] * decoded
+    kept = docs.drop(*[f.name for f in fields])
+    return kept.mapInArrow(lambda batches: _encoded(batches, vocabulary, column, decoded), StructType([*kept.schema.fields, *fields]))
 
 
 def _joined(lists: pa.ListArray, names: pa.Array) -> pa.Array | None:
@@ -203,17 +208,24 @@ def _joined(lists: pa.ListArray, names: pa.Array) -> pa.Array | None:
     return pc.if_else(lists.is_valid(), joined, pa.scalar(None, pa.string()))
 
 
+def _texts(encoder: ChunkEncoder, lists: pa.ListArray) -> pa.Array:
+    """The tokenizer's text of each id list."""
+    out = []
+    for at in range(0, len(lists), 256):
+        part = lists.slice(at, 256)
+        texts = _joined(part, encoder.names) if encoder.tokenizer.decoder is None else None
+        if texts is None:
+            texts = pa.array([None if ids is None else encoder.tokenizer.decode(ids, skip_special_tokens=False) for ids in part.to_pylist()], pa.string())
+        out.append(texts)
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: str, column: str) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(vocabulary)
-    tokenizer = encoder.tokenizer
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            texts = _joined(part.column(column), encoder.names) if tokenizer.decoder is None else None
-            if texts is None:
-                lists = part.column(column).to_pylist()
-                texts = pa.array([None if ids is None else tokenizer.decode(ids, skip_special_tokens=False) for ids in lists], pa.string())
-            yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*part.columns, _texts(encoder, part.column(column))], names=[*part.schema.names, "decoded"])
 
 
 def decode(ids: DataFrame, vocabulary: str = VOCABULARY, column: str = "token_ids") -> DataFrame:
@@ -224,7 +236,7 @@ def decode(ids: DataFrame, vocabulary: str = VOCABULARY, column: str = "token_id
 
 def op1_chunk_bpe(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    both = decode(encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
+    both = encode(docs.select("doc_id", "text"), vocabulary, decoded=True)
     return both.select(
         "doc_id", "n_tokens",
         F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"),
