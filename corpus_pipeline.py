@@ -44,7 +44,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add n_tokens, token_ids and the digest of the text that the ids decode to."""
-    both = chunkbpe.decode(chunkbpe.encode(docs))
+    both = chunkbpe.encode(docs, decoded=True)
     return both.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
