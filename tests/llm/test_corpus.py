@@ -150,7 +150,7 @@ def test_shards(make_docs, rng, tmp_path, spark):
 
 def test_registered_queries():
     names = __spark_entry__.queries()
-    assert sorted({n.split("_")[0] for n in catalog.QUERIES}) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted({n.split("_")[0] for n in catalog.QUERIES}) == sorted(f"op{k}" for k in range(1, 14))
     assert set(catalog.QUERIES) < set(names) and "pipeline" in names
 
 

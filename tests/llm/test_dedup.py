@@ -155,7 +155,7 @@ def largest_group(monkeypatch, texts, docs):
     sort = suffixes._sorted_spans
 
     def watched(sent, out):
-        sizes.append(sent.groupBy("h").count().agg({"count": "max"}).first()[0] or 0)
+        sizes.append(sent.where("key % 2 = 0").groupBy("h").count().agg({"count": "max"}).first()[0] or 0)
         return sort(sent, out)
 
     monkeypatch.setattr(suffixes, "_sorted_spans", watched)
