@@ -153,7 +153,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], languages: list[str], counts:
     trees: Trees | None = worker_cache("trees", stamp, lambda: Trees(languages, counts) if languages else None)
     give_back()
     for block in blocks(batches, column):
-        letters = block.column("_letters").to_numpy(zero_copy_only=False)
+        letters = block.column(block.num_columns - 1).to_numpy(zero_copy_only=False)
         if trees is None:
             names, scores = [UNKNOWN] * block.num_rows, np.zeros(block.num_rows)
             bits = np.zeros((block.num_rows, 0))
@@ -163,8 +163,8 @@ def _predicted(batches: Iterator[pa.RecordBatch], languages: list[str], counts:
             spare = bits - bits.min(axis=1, keepdims=True)
             scores = np.where(letters, 1 / np.exp2(-np.minimum(spare, 1000.0)).sum(axis=1), 0.0)
             names = [trees.languages[i] if ok else UNKNOWN for i, ok in zip(best, letters)]
-        kept = [n for n in block.schema.names if n != "_letters"]
-        columns = [*(block.column(n) for n in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(list(bits), pa.list_(pa.float64()))]
+        kept = block.schema.names[:-1]
+        columns = [*block.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(list(bits), pa.list_(pa.float64()))]
         yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score", "code_bits"])
 
 
@@ -177,10 +177,11 @@ def identify(docs: DataFrame, sample: DataFrame, column: str = "text") -> DataFr
     """
     languages, counts = gram_counts(sample)
     stamp = hashlib.sha256(counts.tobytes()).hexdigest() + ",".join(languages)
-    kept = docs.drop("lang_pred", "score", "code_bits", "_letters")
+    kept = docs.drop("lang_pred", "score", "code_bits")
     schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("code_bits", ArrayType(DoubleType()))])
     letters = F.coalesce(F.col(column).rlike(r"\p{L}"), F.lit(False))
-    return kept.withColumn("_letters", letters).mapInArrow(lambda batches: _predicted(batches, languages, counts, stamp, column), schema)
+    # The flag travels as the last column, under a name that no other column has.
+    return kept.select("*", letters.alias("_letters".rjust(9 + max(map(len, kept.columns)), "_"))).mapInArrow(lambda batches: _predicted(batches, languages, counts, stamp, column), schema)
 
 
 def held_out(doc_id: str = "doc_id"):

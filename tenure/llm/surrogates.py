@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tenure.llm.spans import match_spans, once
 from tenure.llm.tables import written
 
-# Fixed patterns. All repetitions are bounded or of one class, so no text makes the matcher recurse or crawl.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+# Patterns. Repetitions are bounded or of one class and without way back, so no text makes the matcher recurse or crawl.
+#: A host name has 127 labels at most, by the length that names may have.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,63}(?![A-Za-z0-9-])"
 CARD = r"(?<![\d+])\d(?:[ -]?\d){12,18}(?![\d])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 #: With a country code; from a trunk zero on, but no date; in groups of 3-3-4 or in one; Spanish groups of nine digits.
@@ -42,8 +43,10 @@ FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "
 TITLES = MALE_TITLES + FEMALE_TITLES
 MALE, FEMALE = (f"(?:{'|'.join(t)})" for t in (MALE_TITLES, FEMALE_TITLES))
 #: A possessive ending is no part of a name.
-WORD = r"\p{Lu}(?:(?!'s(?!\p{L}))[\p{L}'-]){1,30}"
-NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? {WORD}(?: {WORD}){{0,3}}"
+WORD = r"\p{Lu}(?:[\p{L}-]++|'(?!s(?!\p{L}))){1,12}+"
+#: Names of up to MOST_WORDS words; what is capitalised beyond is taken for other text.
+MOST_WORDS = 12
+NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? {WORD}(?: {WORD}){{0,{MOST_WORDS - 1}}}"
 PATTERN = "|".join([EMAIL, SSN, CARD, IP, PHONE, NAME])
 KINDS = ["email", "ssn", "card", "phone", "ip", "name"]
 
@@ -116,7 +119,7 @@ def _with_names(names: Column) -> Column:
     forms = F.array_distinct(F.flatten(F.transform(names, lambda m: F.array(m["value"], F.initcap(m["value"]), F.upper(m["value"])))))
     # Longer ones first: of two names with one beginning the whole word is wanted.
     ordered = F.reverse(F.array_sort(F.transform(forms, lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))))
-    return F.concat(F.lit(PATTERN + r"|(?<![\p{L}])(?=\p{Lu})(?:"), F.array_join(F.transform(ordered, lambda x: x["w"]), "|"), F.lit(r")(?![\p{L}]|[A-Za-z0-9._%+-]{0,64}@)"))
+    return F.concat(F.lit(PATTERN + r"|(?<![\p{L}])(?=\p{Lu})(?:"), F.array_join(F.transform(ordered, lambda x: x["w"]), "|"), F.lit(r")(?![\p{L}]|[A-Za-z0-9._%+-]*+@)"))
 
 
 def _draw(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
@@ -224,14 +227,15 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     a third of all rows, an entity is one row of the surrogate table, and rows meet it through a join that
     adaptive execution splits.
     """
-    docs = docs.drop("pii_counts")
+    columns = [c for c in docs.columns if c != "pii_counts"]
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("text"))  # so that no name of the caller's can clash
     text = F.coalesce("text", F.lit(""))
     # Every entity has a digit, an at sign or a title, which is quickly told.
     cue = reduce(or_, [text.contains(t) for t in TITLES], text.rlike("[0-9@]"))
     has = cue & text.rlike(PATTERN)
     counts = "map<string,long>"
-    clean = docs.filter(~has).withColumn("pii_counts", F.create_map().cast(counts))
-    found = docs.filter(has).withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", once(match_spans(text, PATTERN))).withColumn("_names", once(_text_names(F.col("_spans"))))
+    clean = rows.filter(~has).withColumn("pii_counts", F.create_map().cast(counts))
+    found = rows.filter(has).withColumn("_row", F.monotonically_increasing_id()).withColumn("_spans", once(match_spans(text, PATTERN))).withColumn("_names", once(_text_names(F.col("_spans"))))
     spans = F.when(F.size("_names") == 0, F.col("_spans")).otherwise(match_spans(text, _with_names(F.col("_names"))))
     # The numbers of the rows must not change once they are given out, hence the written copy.
     marked = written(found.withColumn("_spans", spans))
@@ -248,7 +252,8 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     kinds = F.transform("_spans", lambda s: kind_of(s["value"]))
     counted = F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*(_count(kinds, kind) for kind in KINDS)))
     replaced = marked.join(of_row, "_row").withColumn("pii_counts", F.map_filter(counted, lambda _, n: n > 0)).withColumn("text", whole)
-    return clean.unionByName(replaced.select(*clean.columns))
+    done = clean.unionByName(replaced.select(*clean.columns))
+    return done.select(*[F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in columns], "pii_counts")
 
 
 def op10_surrogates(docs: DataFrame, key: str = "surrogate key") -> DataFrame:
