@@ -9,6 +9,7 @@ from tenure.catalog.registry import query
 from tenure.functions import mentions, names, text
 from tenure.operators import html, matching
 from tenure.plans import adapters as ad
+from tenure.plans import ingest
 from tenure.sources.staging import stage_recent_moves
 
 
@@ -140,6 +141,47 @@ def mention_amounts(t):
     return t["documents"].select("doc_id", F.inline(found)).withColumnRenamed("amount", "fee")
 
 
+_PAGE_TERMS = ["and", "der", "que"]
+
+
+@query(_MENTIONS.replace("{terms}", str(_PAGE_TERMS)) + """, found AS (
+        SELECT page_id, ['and', 'der', 'que'][page_id % 3 + 1] AS destination, CASE WHEN page_id % 4 = 0 THEN 'End of loan' ELSE 'Transfer' END AS kind FROM pages)
+    SELECT page_id AS club_id, 'FC Club' || page_id AS club_name, '2026–27' AS season, 'out' AS direction, '1 July 2026' AS date, 'P' || page_id AS player_name,
+        'Doc_' || page_id AS player_wiki_title, destination AS other_club_name, kind AS transfer_type,
+        CASE WHEN kind = 'Transfer' THEN fee END AS fee_text, '2026–27 Club' || page_id || ' season' AS source_page
+    FROM found LEFT JOIN fees ON fees.doc_id = page_id AND term = destination
+    UNION ALL SELECT page_id, 'FC Club' || page_id, '2026–27', 'out', '2 July 2026', 'Q' || page_id, NULL, 'Lens', '', NULL, '2026–27 Club' || page_id || ' season' FROM found
+    UNION ALL SELECT page_id, 'FC Club' || page_id, '2026–27', 'in', '', 'R' || page_id, NULL, 'Last club', 'Transfer', '€' || page_id % 50 || 'm', '2026–27 Club' || page_id || ' season' FROM found""")
+def page_job(t):
+    """The whole page job: pick of the hit, first section about transfers, tables with and without a direction, fees from the articles, last row per key."""
+    key = F.col("page_id")
+    number = key.cast("string")
+    club = F.concat(F.lit("Club"), number)
+
+    def hit(rank, page, season):
+        return F.struct(F.lit(rank).alias("rank"), page.alias("page_id"), F.concat(F.lit(season + " "), club, F.lit(" season")).alias("title"))
+
+    asked = t["pages"].select(key.alias("club_id"), F.concat(F.lit("FC "), club).alias("club_name"), F.lit("2026–27").alias("season"),
+                              F.inline(F.array(hit(1, key + 1, "2025–26"), hit(2, key, "2026–27"), hit(3, key + 2, "2026–27"))))
+    term = F.element_at(F.array(*map(F.lit, _PAGE_TERMS)), (key % 3 + 1).cast("int"))
+    kind = F.when(key % 4 == 0, "End of loan").otherwise("Transfer")
+    out = F.concat(
+        F.lit('<table class="wikitable"><tr><th>Date</th><th>Player</th><th>To</th><th>Type</th></tr><tr><td>1 July 2026</td><td><a href="/wiki/Doc_'), number, F.lit('">P'), number,
+        F.lit("</a></td><td>"), term, F.lit("</td><td>"), kind, F.lit("</td></tr><tr><td>2 July 2026</td><td>Q"), number, F.lit("</td><td>Lens</td><td></td></tr></table>"),
+    )
+    undirected = F.lit('<table class="wikitable"><tr><th>Date</th><th>Player</th><th>Type</th></tr><tr><td>3 July 2026</td><td>Nobody</td><td>Loan</td></tr></table>')
+    row = lambda other: F.concat(F.lit("<tr><td>R"), number, F.lit(f"</td><td>{other}</td><td>€"), (key % 50).cast("string"), F.lit("m</td></tr>"))
+    moved = F.concat(F.lit('<table class="wikitable"><tr><th>Player</th><th>From</th><th>Fee</th></tr>'), row("First club"), row("Last club"), F.lit("</table>"))
+    parts = F.array(
+        F.struct(F.lit(1).alias("section"), F.lit("History").alias("heading"), moved.alias("html")),
+        F.struct(F.lit(5).alias("section"), F.lit("Transfers in winter").alias("heading"), undirected.alias("html")),
+        F.struct(F.lit(3).alias("section"), F.lit("Summer transfers").alias("heading"), F.concat(out, undirected, moved).alias("html")),
+    )
+    sections = t["pages"].select("page_id", F.inline(parts))
+    articles = t["documents"].select(F.concat(F.lit("Doc_"), F.col("doc_id").cast("string")).alias("title"), _told().alias("text"))
+    return ingest.page_moves(asked, sections, articles)
+
+
 _NAME = "'FC ' || p_name || ' (' || p_type || ') Manchester ' || CASE WHEN p_size % 3 = 0 THEN 'U21' ELSE 'Club' END"
 _GENERIC = ", ".join(f"'{w}'" for w in names.GENERIC_WORDS)
 
