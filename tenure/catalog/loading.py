@@ -12,8 +12,10 @@ from tenure.operators import joins, loads, matching, quality
 from tenure.plans import adapters as ad
 from tenure.plans import intermediate as im
 from tenure.plans.checks import ADAPTER_CHECKS, check_build
+from tenure.session import scratch_folder
 from tenure.sources.readers import flatten
 from tenure.sources.staging import parse_spec, project
+from tenure.streaming.upserts import append_load, read_current
 
 AS_OF = ad.AS_OF.isoformat()
 
@@ -64,6 +66,16 @@ def merge_upsert(t):
     return loads.upsert(base, first.unionByName(second), ["o_orderkey"], _version())
 
 
+@query(f"WITH {_LOADS} SELECT * FROM merged")
+def upsert_store(t):
+    """The same table kept as loads: three of them, then the oldest again, which changes nothing."""
+    base, first, second = _loads(t)
+    table = scratch_folder(t.spark)
+    for number, load in ((1, base), (2, first), (3, second), (1, base)):
+        append_load(load, number, table, ["o_orderkey"], ["version"], buckets=8)
+    return read_current(t.spark, table, base.schema)
+
+
 @query(f"""WITH {_LOADS} SELECT 0::bigint AS missing, 0::bigint AS extra, count(*) AS n_rows FROM merged""")
 def rebuild_equals_upsert(t):
     base, first, second = _loads(t)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -61,3 +63,16 @@ def shared(df: DataFrame, scratch: str | None) -> DataFrame:
     folder = f"{scratch}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under `spark.checkpoint.dir`, which the driver and all executors share.
+
+    Where that is unset, a session on one machine (tests) gets a temporary folder; on a cluster that is an error.
+    """
+    shared_root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared_root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared_root = tempfile.mkdtemp(prefix="scratch-")
+    return f"{shared_root}/{uuid.uuid4().hex}"
