@@ -184,6 +184,18 @@ def test_pipeline_stages(spark, stage_outputs):
     assert texts[5] == texts[4] and all(r.n_tokens == len(r.token_ids) for r in stage_outputs[5].collect())
 
 
+def test_first_stage_rejects_what_no_tree_codes(spark, make_docs, rng):
+    known = spark.read.parquet(f"{SMALL}/documents.parquet")
+    foreign = [
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)), "Это русский текст о погоде и природе, он довольно длинный. " * 4,
+        "Tämä on suomenkielinen teksti, jossa kerrotaan pitkästi järvistä ja metsistä sekä yöttömästä yöstä pohjoisessa. " * 3,
+    ]
+    docs = known.unionByName(make_docs([*foreign, "Hi", "no 1"], lang=None, ids=[9_000_001, 9_000_002, 9_000_003, 9_000_004, 9_000_005]))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, SMALL).collect()}
+    with_letters = {r.doc_id for r in known.collect() if re.search(r"[^\W\d_]", r.text or "")}
+    assert kept == with_letters | {9_000_004, 9_000_005}
+
+
 def test_last_stage_decodes(spark, make_docs):
     import hashlib
 
