@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 
@@ -37,6 +38,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of results that nothing refers to any more, so that Spark's cleaner removes the shuffle files behind them now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keys(listed: DataFrame) -> DataFrame:
     """Distinct keys, written once, and marked for broadcast if they are few enough."""
     listed = written(listed.distinct())
