@@ -1,9 +1,9 @@
 """Quality rules (operator 9): word and line statistics, and a hashed n-gram likelihood ratio.
 
 Byte 5-grams are hashed into a fixed number of buckets. Two multinomials are estimated over the buckets: one
-from trusted documents (a bounded sample of those labelled good), one from all documents. A document's score
-is the mean over its n-grams of log(p trusted / p raw), hence free of length. Every document whose score lies
-below one threshold is rejected: the mean score of the trusted sample less `spread` standard deviations.
+from all trusted documents (those labelled good), one from all documents. A document's score is the mean over
+its n-grams of log(p trusted / p raw), hence free of length. Every document whose score lies below one
+threshold is rejected: the mean score of all trusted documents less `spread` standard deviations.
 """
 
 from __future__ import annotations
@@ -18,13 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tenure.llm.blocks import Words, blocks, byte_table, mix, text_bytes
-from tenure.llm.tables import in_sample
+from tenure.llm.tables import keys
 
 BUCKETS = 1 << 16
 GRAM = 5
 WINDOW = 8
-#: Most labelled documents that the trusted model is fitted on.
-TRUSTED_MOST = 4000
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 _STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -62,13 +60,9 @@ def gram_counts(texts: DataFrame, column: str = "text") -> DataFrame:
     return partial.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, most: int = TRUSTED_MOST) -> DataFrame:
-    """Texts of at most `most` documents labelled good, drawn by a hash of the id."""
-    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id")
-    # Twice as many as wanted by the hash alone, so that only these are put in order.
-    ids = good.filter(in_sample(F.lit(min(1.0, 2 * most / max(1, good.count()))), "doc_id")).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.join(F.broadcast(ids), "doc_id").select("text")  # at most `most` ids
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id of all documents labelled good, once each."""
+    return keys(labels.filter("quality = 1 and doc_id is not null").select("doc_id"))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
@@ -123,6 +117,27 @@ def _duplicate_lines(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.
     return np.bincount(text, minlength=n_texts) - np.bincount(np.fromiter((t for t, _ in lines), np.int64, len(lines)), minlength=n_texts)
 
 
+def _gram_scores(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The mean log ratio over the n-grams of each text; 0 without any."""
+    buckets, n_grams = gram_buckets(data, offsets)
+    sums = np.zeros(len(buckets) + 1)
+    np.cumsum(ratios[buckets], out=sums[1:])
+    return np.diff(sums[np.concatenate([[0], np.cumsum(n_grams)])]) / np.maximum(1, n_grams)
+
+
+def _rated(batches: Iterator[pa.RecordBatch], ratios: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for block in blocks(batches):
+        score = _gram_scores(*text_bytes(block.column("text")), ratios)
+        yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "llr"])
+
+
+def trusted_scores(docs: DataFrame, ids: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """llr of every trusted document. All are scored where they lie, so that no text is shuffled for it."""
+    schema = StructType([docs.schema["doc_id"], StructField("llr", DoubleType())])
+    rated = docs.select("doc_id", "text").mapInArrow(lambda batches: _rated(batches, ratios), schema)
+    return rated.join(ids, "doc_id", "left_semi").select("llr")
+
+
 def _scored(batches: Iterator[pa.RecordBatch], ratios: np.ndarray, column: str) -> Iterator[pa.RecordBatch]:
     def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         running = np.zeros(len(flags) + 1, np.int64)
@@ -137,11 +152,7 @@ def _scored(batches: Iterator[pa.RecordBatch], ratios: np.ndarray, column: str)
         inside[words.start] += 1
         np.subtract.at(inside, words.end, 1)
         in_word = np.cumsum(inside[:-1], dtype=np.int8) > 0
-        buckets, n_grams = gram_buckets(data, offsets)
-        sums = np.zeros(len(buckets) + 1)
-        np.cumsum(ratios[buckets], out=sums[1:])
-        ends = np.concatenate([[0], np.cumsum(n_grams)])
-        score = np.diff(sums[ends]) / np.maximum(1, n_grams)
+        score = _gram_scores(data, offsets, ratios)
         stats = [words.counts(), per_text(in_word & ((data & 0xC0) != 0x80), offsets), per_text(_SYMBOLS[data], offsets), _duplicate_lines(data, offsets, words), _repeated(words, n_texts)]
         fields = [pa.array(s, pa.int64()) for s in stats] + [pa.array(score, pa.float64())]
         yield pa.RecordBatch.from_arrays([*block.columns, *fields], names=[*block.schema.names, *_STATS, "llr"])
@@ -154,16 +165,16 @@ def quality_scores(docs: DataFrame, ratios: np.ndarray, column: str = "text") ->
     return kept.mapInArrow(lambda batches: _scored(batches, ratios, column), schema)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, most: int = TRUSTED_MOST, spread: float = 4.0) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, spread: float = 4.0) -> DataFrame:
     """`docs` with statistics, llr, base_failed and kept.
 
     A null or empty text has no words, hence base_failed. Texts under 5 bytes score 0. Without trusted
     documents no threshold holds and only base_failed rejects. Labels may repeat or be null. Every document
     is judged by itself, so ties and repeated rows need no rule.
     """
-    trusted = trusted_sample(docs, labels, most)
-    ratios = log_ratios(docs, trusted)
-    seen = quality_scores(trusted, ratios).agg(F.avg("llr").alias("mean"), F.stddev_pop("llr").alias("std")).first()
+    ids = trusted_ids(labels)
+    ratios = log_ratios(docs, docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
+    seen = trusted_scores(docs, ids, ratios).agg(F.avg("llr").alias("mean"), F.stddev_pop("llr").alias("std")).first()
     threshold = -math.inf if seen["mean"] is None else seen["mean"] - spread * seen["std"]
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return quality_scores(docs, ratios).withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("llr") >= F.lit(threshold)))

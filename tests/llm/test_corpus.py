@@ -119,6 +119,15 @@ def test_quality_rejects_junk_and_keeps_prose(spark):
     assert kept[1] > 0.97 and kept[0] < 0.3
 
 
+def test_quality_learns_from_every_trusted_document(spark, make_docs):
+    texts = [f"w{i:05d} words" for i in range(6000)]
+    labels = spark.createDataFrame([(i, 1) for i in range(6000)], "doc_id long, quality int")
+    docs = make_docs(texts)
+    expected = quality.quality_scores(docs, quality.log_ratios(docs, docs)).collect()
+    got = {r.doc_id: r.llr for r in quality.op9_quality_llr(docs, labels).collect()}
+    assert got == {r.doc_id: r.llr for r in expected}
+
+
 def test_quality_without_labels(spark, make_docs, rng):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     got = quality.op9_quality_llr(make_docs([prose(rng, 30), "", None]), labels).orderBy("doc_id").collect()
