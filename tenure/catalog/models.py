@@ -15,6 +15,7 @@ from tenure.functions.text import leading_int
 from tenure.plans import adapters as ad
 from tenure.plans import intermediate as im
 from tenure.plans import incremental, marts
+from tenure.session import scratch_folder
 
 
 def _champions(t: ad.Tables) -> DataFrame:
@@ -173,7 +174,7 @@ _FCT_TRANSFER = sql(["transfers", "spells", "performance", "value_at_end", "elo"
 @query(_FCT_TRANSFER)
 def fct_transfer(t):
     needed = ["transfers", "appearances", "games", "club_games", "player_valuations", "scope", "mapping", "ratings"]
-    return marts.fct_transfer(ad.domain(t, *needed), ad.AS_OF)
+    return marts.fct_transfer(ad.domain(t, *needed), ad.AS_OF, scratch_folder(t.spark))
 
 
 _FCT_RECENT_MOVES = sql(["recent_moves", "trajectory", "tenure_titles", "players"], """

@@ -183,9 +183,11 @@ def interval_agg(
     """Aggregate, per span, the facts of the same keys dated in [start, end); NULL end is open.
 
     The spans of one key must not overlap, as is the case for the output of `spells`. Facts are
-    first summed per (keys, day, distinct columns), and the span of each (keys, day) is found in one
-    window over days, so the pairs of the range join are never formed and a hot key brings at most
-    one row per day to the window. Every span id appears once; a span without facts has zeros.
+    first summed per (keys, day, distinct columns) with map-side combine. These sums pass through the
+    window that finds their span and are added up where they lie, so the pairs of the range join are
+    never formed, facts are shuffled twice in all, and a hot key brings at most one row per day and
+    combination of distinct values to the window. Every span id appears once and has one key; a span
+    without facts has zeros.
     `counts`, `sums` and `distinct` map output names to fact columns.
     """
     _need_date(spans, start, end)
@@ -196,12 +198,11 @@ def interval_agg(
         facts.where(_all_set([*keys, date]))
         .groupBy(*keys, F.col(date).alias("__at"), *[F.col(c).alias(f"__d_{c}") for c in distinct_columns])
         .agg(
-            F.count(F.lit(1)).alias("__rows"),
+            F.lit(1).alias("__side"),
             *[F.count(c).alias(f"__n_{o}") for o, c in counts.items()],
             *[F.sum(c).alias(f"__s_{o}") for o, c in sums.items()],
         )
     )
-    days = cells.select(*keys, "__at").distinct() if distinct_columns else cells
     # Empty spans [d, d) can hold no fact and would hide the real span of that day.
     live = spans.where(_all_set([*keys, start]) & (F.col(end).isNull() | (F.col(end) > F.col(start)))).select(
         *keys,
@@ -211,21 +212,19 @@ def interval_agg(
     )
     w = Window.partitionBy(*keys).orderBy("__at", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = (
-        live.unionByName(days.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+        live.unionByName(cells, allowMissingColumns=True)
         .withColumn("__span", F.last("__span", ignorenulls=True).over(w))
         .where((F.col("__side") == 1) & F.col("__span").isNotNull())
         .where(F.col("__span.end").isNull() | (F.col("__span.end") > F.col("__at")))
         .withColumn(span_id, F.col("__span.id"))
-        .drop("__side", "__span")
     )
-    if distinct_columns:
-        inside = cells.join(inside, [*keys, "__at"], "inner")
-    result = inside.groupBy(span_id).agg(
+    # Grouped by the keys as well, the rows need no further shuffle.
+    result = inside.groupBy(*keys, span_id).agg(
         *[F.sum(f"__n_{o}").alias(o) for o in counts],
         *[F.count_distinct(f"__d_{c}").alias(o) for o, c in distinct.items()],
         *[F.sum(f"__s_{o}").alias(o) for o in sums],
     )
-    out = attach(spans.select(span_id), result, [span_id], "left")
+    out = attach(spans.select(span_id), result.drop(*keys), [span_id], "left")
     return out.select(span_id, *[F.coalesce(o, F.lit(0)).alias(o) for o in (*counts, *distinct, *sums)])
 
 

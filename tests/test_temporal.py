@@ -72,6 +72,14 @@ def test_interval_operators_equal_the_plain_range_join(spark, seed, hot):
     assert rows(counted, "id", "some", "rest") == rows(expected, "id", "some", "rest")
 
 
+def test_interval_agg_reads_facts_once(spark):
+    spans = spark.createDataFrame([("a", 1, day(0), day(10)), ("b", 1, day(10), None)], "id string, who long, start date, end date")
+    facts = spark.range(40).select(F.lit(1).alias("who"), F.date_add(F.lit(day(0)), F.col("id").cast("int")).alias("at"), (F.col("id") % 3).alias("season"), "id")
+    agg = temporal.interval_agg(spans, facts.withColumnRenamed("id", "fact"), ["who"], "id", "start", "end", "at", counts={"n": "fact"}, distinct={"seasons": "season"})
+    assert rows(agg, "id", "n", "seasons") == [("a", 10, 3), ("b", 30, 3)]
+    assert agg._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
 def test_title_on_the_last_day_does_not_count_and_on_the_first_does(spark):
     spans = spark.createDataFrame([("a", 1, day(0), day(10)), ("b", 1, day(10), None), ("c", None, day(0), None)], "id string, club long, start date, end date")
     titles = spark.createDataFrame([(1, day(10), True), (1, day(0), True), (1, day(10), False)], "club long, at date, league boolean")
