@@ -205,6 +205,8 @@ _MOVE_TABLES = ["games", "club_games", "player_valuations", "scope", "players",
 @query(_FCT_TRANSFER)
 def incremental_fct_transfer(t):
     """The mart of the tables without their newest rows, brought up to date by these: late transfers, valuations and appearances."""
+    scratch = scratch_folder(t.spark)
+    ad.share_lines(t, scratch)
     after = ad.domain(t, *_TRANSFER_TABLES)
     late = {
         "transfers": F.col("transfer_date") >= "2001-07-20", "player_valuations": F.col("valuation_date") >= "2001-10-25",
@@ -212,7 +214,7 @@ def incremental_fct_transfer(t):
     }
     before = {**after, **{name: after[name].where(~rows) for name, rows in late.items()}}
     changes = {name: after[name].where(rows) for name, rows in late.items()}
-    return incremental.fct_transfer(marts.fct_transfer(before, ad.AS_OF), after, changes, ad.AS_OF)
+    return incremental.fct_transfer(marts.fct_transfer(before, ad.AS_OF, scratch), after, changes, ad.AS_OF, scratch)
 
 
 @query(_FCT_RECENT_MOVES)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tenure.operators.joins import attach, keep_missing
 from tenure.plans import marts
+from tenure.session import shared
 
 Frames = dict[str, DataFrame]
 
@@ -81,11 +82,12 @@ def fct_transfer(previous: DataFrame, tables: Frames, changes: Frames, as_of: dt
     """The transfer mart after `changes`: `previous` without the rows of touched players, and theirs built again.
 
     `tables` are the staged tables with the changes in them, as for `marts.fct_transfer`. Players without an id are one
-    player, as they are to the spells.
+    player, as they are to the spells. With a `scratch` folder the touched players, which four tables meet, are written once.
     """
     players = touched_players(tables, changes)
     if players is None:
         return previous
+    players = shared(players, scratch)
     ours = {name: attach(tables[name], players, ["player_id"], "left_semi", null_safe=True) for name in ("transfers", "appearances", "player_valuations")}
     fresh = marts.fct_transfer({**tables, **ours}, as_of, scratch)
     return keep_missing(previous, players, ["player_id"], null_safe=True).unionByName(fresh)

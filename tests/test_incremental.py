@@ -86,3 +86,14 @@ def test_only_touched_players_are_built_again(spark):
     assert incremental.touched_players(tables, {"recent_moves": tables["recent_moves"]}) is None
     previous = marts.fct_transfer(tables, AS_OF)
     assert incremental.fct_transfer(previous, tables, {}, AS_OF) is previous
+
+
+def test_touched_players_are_found_once(spark, tmp_path):
+    rng = random.Random(6)
+    tables = {name: spark.createDataFrame([made_row(rng, name, i) for i in range(n)], SCHEMAS[name]) for name, n in SIZES.items()}
+    late = spark.createDataFrame([("v900", 3, dt.date(2023, 5, 5), 9e6, "Club 1")], SCHEMAS["player_valuations"])
+    after = {**tables, "player_valuations": tables["player_valuations"].unionByName(late)}
+    step = incremental.fct_transfer(marts.fct_transfer(tables, AS_OF), after, {"player_valuations": late}, AS_OF, str(tmp_path))
+    written = [spark.read.parquet(str(folder)) for folder in tmp_path.iterdir()]
+    assert sorted(df.columns for df in written if "player_id" in df.columns and len(df.columns) == 1) == [["player_id"]]
+    assert rows(step) == rows(marts.fct_transfer(after, AS_OF).select(*step.columns))
