@@ -195,7 +195,8 @@ _FCT_RECENT_MOVES = sql(["recent_moves", "trajectory", "tenure_titles", "players
 @query(_FCT_RECENT_MOVES)
 def fct_recent_moves(t):
     needed = ["games", "club_games", "player_valuations", "scope", "players", "recent_moves"]
-    return marts.fct_recent_moves(ad.domain(t, *needed)).withColumn("fee_amount", F.col("fee_amount").cast("double"))
+    mart = marts.fct_recent_moves(ad.domain(t, *needed), scratch=scratch_folder(t.spark))
+    return mart.withColumn("fee_amount", F.col("fee_amount").cast("double"))
 
 
 _TRANSFER_TABLES = ["transfers", "appearances", "games", "club_games", "player_valuations", "scope", "mapping", "ratings"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenure.functions.text import leading_int
-from tenure.operators.joins import attach
+from tenure.operators.joins import attach, keep_matching
 from tenure.operators.matching import entity_resolve
 from tenure.operators.ranking import last_period_rows
 from tenure.operators.temporal import (
@@ -17,6 +17,7 @@ from tenure.operators.temporal import (
     nearest_period,
     spells,
 )
+from tenure.session import shared
 
 LEAGUE, CUP = "league", "cup"
 
@@ -112,7 +113,9 @@ def titles_during_spell(club_spell: DataFrame, champions: DataFrame) -> DataFram
 MOVE_KEY = ["club_id", "player_name", "direction", "transfer_date"]
 
 
-def value_trajectory(moves: DataFrame, players: DataFrame, valuations: DataFrame, full_grain: bool = False) -> DataFrame:
+def value_trajectory(
+    moves: DataFrame, players: DataFrame, valuations: DataFrame, full_grain: bool = False, scratch: str | None = None
+) -> DataFrame:
     """Per move, the resolved player and the first and last valuation at the club up to the move.
 
     The player is the lowest id with that name (any case) and a valuation at a club of that name.
@@ -120,7 +123,8 @@ def value_trajectory(moves: DataFrame, players: DataFrame, valuations: DataFrame
     holds the arrival and one the departure value and the others have NULL; `full_grain` ranks per
     move instead. Moves without a valuation up to their date are left out.
 
-    One window per (player, club) finds both; its rows are days, so it stays small.
+    One window per (player, club) finds both; its rows are days, so it stays small. Valuations of pairs that no
+    move resolves to leave before it. With a `scratch` folder the resolved moves are written once.
     """
     resolved = entity_resolve(
         moves.select(*MOVE_KEY, "club_name").where("transfer_date is not null"), players, valuations,
@@ -129,10 +133,12 @@ def value_trajectory(moves: DataFrame, players: DataFrame, valuations: DataFrame
     one = resolved.groupBy(*MOVE_KEY).agg(F.min(F.struct("player_id", "club_name")).alias("__c")).select(
         *MOVE_KEY, "__c.player_id", "__c.club_name"
     )
+    one = shared(one, scratch)
     at_club = valuations.select(
         "player_id", F.col("current_club_name").alias("club_name"), "valuation_date", "player_valuation_id",
         F.col("market_value_in_eur").alias("value"),
     )
+    at_club = keep_matching(at_club, one.select("player_id", "club_name").distinct(), ["player_id", "club_name"])
     out = first_and_last_until(
         one, at_club, ["player_id", "club_name"], "transfer_date", "valuation_date", ["value"], ["player_valuation_id"]
     ).where("first is not null")

@@ -155,3 +155,13 @@ def test_kpi_leaves_stale_valuations_out_of_the_mean(spark):
     clubs = spark.createDataFrame([(1, "Club 1")], "club_id long, club_name string")
     assert tuple(reports.kpi_summary(fct, clubs).first()) == (3, 1.0, 33.0, 6.0)
     assert tuple(reports.kpi_summary(fct, clubs, club="Club%").first()) == (2, 0.5, 50.0, 5.0)
+
+
+def test_trajectory_reads_valuations_of_resolved_pairs_only(spark):
+    moves = spark.createDataFrame([(1, "A", "in", D(2023, 1, 1), "Club 1")], "club_id long, player_name string, direction string, transfer_date date, club_name string")
+    players = spark.createDataFrame([(7, "a"), (8, "b")], "player_id long, player_name string")
+    valued = [(f"v{i}", i % 2 + 7, D(2022, 1, 1 + i), float(i), f"Club {i % 3}") for i in range(12)]
+    valuations = spark.createDataFrame(valued, "player_valuation_id string, player_id long, valuation_date date, market_value_in_eur double, current_club_name string")
+    out = im.value_trajectory(moves, players, valuations)
+    assert [tuple(r)[4:] for r in out.collect()] == [(7, 4.0, D(2022, 1, 5), 10.0, D(2022, 1, 11))]
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
