@@ -221,6 +221,8 @@ def incremental_fct_transfer(t):
 @query(_FCT_RECENT_MOVES)
 def incremental_fct_recent_moves(t):
     """The same for the moves: the newest valuations are late, and the moves of some days were read with another fee."""
+    scratch = scratch_folder(t.spark)
+    ad.share_lines(t, scratch)
     after = ad.domain(t, *_MOVE_TABLES)
     late = F.col("valuation_date") >= "2001-10-25"
     reread = F.col("transfer_date").between("2001-07-20", "2001-07-24")
@@ -228,7 +230,7 @@ def incremental_fct_recent_moves(t):
     wrong = moves.withColumn("fee_amount", F.when(reread, F.lit(0).cast("decimal(38,6)").cast(moves.schema["fee_amount"].dataType)).otherwise(F.col("fee_amount")))
     before = {**after, "recent_moves": wrong, "player_valuations": valuations.where(~late)}
     changes = {"recent_moves": moves.where(reread).unionByName(wrong.where(reread)), "player_valuations": valuations.where(late)}
-    fresh = incremental.fct_recent_moves(marts.fct_recent_moves(before), after, changes)
+    fresh = incremental.fct_recent_moves(marts.fct_recent_moves(before, scratch=scratch), after, changes, scratch=scratch)
     return fresh.withColumn("fee_amount", F.col("fee_amount").cast("double"))
 
 

@@ -113,6 +113,7 @@ def fct_recent_moves(previous: DataFrame, tables: Frames, changes: Frames, full_
     names = touched_names(tables, changes)
     if names is None:
         return previous
+    names = shared(names, scratch)
 
     def named(df: DataFrame) -> DataFrame:
         return attach(df.withColumn("__name", F.lower("player_name")), names, {"__name": "name"}, "left_semi", null_safe=True).drop("__name")

@@ -97,3 +97,13 @@ def test_touched_players_are_found_once(spark, tmp_path):
     written = [spark.read.parquet(str(folder)) for folder in tmp_path.iterdir()]
     assert sorted(df.columns for df in written if "player_id" in df.columns and len(df.columns) == 1) == [["player_id"]]
     assert rows(step) == rows(marts.fct_transfer(after, AS_OF).select(*step.columns))
+
+
+def test_touched_names_are_found_once(spark, tmp_path):
+    rng = random.Random(8)
+    tables = {name: spark.createDataFrame([made_row(rng, name, i) for i in range(n)], SCHEMAS[name]) for name, n in SIZES.items()}
+    changes = {"recent_moves": tables["recent_moves"].limit(0)}
+    step = incremental.fct_recent_moves(marts.fct_recent_moves(tables), tables, changes, scratch=str(tmp_path))
+    written = [spark.read.parquet(str(folder)).columns for folder in tmp_path.iterdir()]
+    assert written.count(["name"]) == 1
+    assert rows(step) == rows(marts.fct_recent_moves(tables).select(*step.columns))
