@@ -315,3 +315,28 @@ def test_staged_moves_keep_undated_twin(spark):
     assert rows(stage_recent_moves(raw), "player_name", "other_club_name", "transfer_date", "transfer_type", "fee_amount") == [
         ("Travis", "Aarau", None, "Loan", None), ("Travis", "Aarau", dt.date(2026, 6, 15), "Loan", Decimal("1000000.00"))]
     assert stage_recent_moves(raw, drop_undated=True).count() == 1
+
+
+def test_html_rows_keep_keys_as_they_are(spark):
+    page = '<table class="wikitable"><tr><th>Player</th></tr>' + "<tr><td>P</td></tr>" * 6000 + "</table>"
+    pages = spark.createDataFrame([(None, page), (2**53 + 1, page), (3, None)], "page_id long, html string").coalesce(1)
+    found = html.html_rows(pages, ["page_id"], "html").groupBy("page_id").agg(F.count_distinct("row_no").alias("n"), F.sum(F.size("cells")).alias("cells"))
+    assert {tuple(r) for r in found.collect()} == {(None, 6000, 6000), (2**53 + 1, 6000, 6000)}
+
+
+def test_mentions_hold_one_text_at_a_time():
+    import re
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tenure.functions import mentions, text
+
+    texts = pa.array([f"and for a fee of £{i}.5m " + "é x " * 5000 for i in range(500)] + [None])
+    wanted = pa.array([["and"]] * 500 + [["and"]])
+    tracemalloc.start()
+    got = mentions.scanned(texts, wanted, [re.compile(text.AMOUNT, re.IGNORECASE)], 100, 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(x) for x in got.to_pylist()] == [1] * 500 + [0] and got[7].as_py()[0]["amount"] == "£7.5m"
+    assert peak < 5_000_000, peak  # the texts take 12 MB as UTF-8
