@@ -2,11 +2,13 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from tests.llm.conftest import ODD, prose
 
 from tenure.llm import components, minhash, suffixes
+from tenure.llm.tables import FREES_SHUFFLES
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -177,6 +179,48 @@ def test_hot_counts_stretches(make_docs, rng, monkeypatch):
     assert removed == {i: brute_removed(list(enumerate(texts)))[i][1] for i in range(3)}
 
 
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+@pytest.mark.parametrize("hot", [20_000, 4])
+def test_shuffles_go_as_soon_as_their_result_is_written(spark, make_docs, rng, monkeypatch, hot):
+    """What stays are the sums of a few numbers; the stretches alone take more than 50 kB."""
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    line = prose(rng, 60)
+    docs = make_docs([f"{line} {prose(rng, 20)}" for _ in range(60)]).repartition(4)
+    before, setting = set(shuffle_bytes(spark)), spark.conf.get(FREES_SHUFFLES)
+    result = suffixes.remove_repeats(docs)
+    until = time.monotonic() + 20
+    while (left := sum(size for name, size in shuffle_bytes(spark).items() if name not in before)) > 5_000 and time.monotonic() < until:
+        time.sleep(0.2)
+    assert left <= 5_000 and result.count() == 59
+    assert spark.conf.get(FREES_SHUFFLES) == setting
+
+
+@pytest.mark.parametrize("hot", [20_000, 4])
+def test_more_shared_anchors_than_bits(spark, make_docs, rng, monkeypatch, request, hot):
+    """Only stretches around shared anchors are sent, however many anchors are shared and batches there are."""
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    monkeypatch.setattr(suffixes, "LEAST_BITS", 64)
+    monkeypatch.setattr(suffixes, "MOST_BITS", 64)
+    sent, sort = [], suffixes._sorted_spans
+    monkeypatch.setattr(suffixes, "_sorted_spans", lambda df, out: sent.append(df.count()) or sort(df, out))
+    lines = [prose(rng, 40) for _ in range(6)]
+    texts = [*ODD, "-" * 900, "=" * 30 + "-" * 700, *(f"{rng.choice(lines)} {prose(rng, 150)} {rng.choice(lines)[7:]}" for _ in range(40))]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    docs = make_docs(texts, ids=ids)
+    docs = docs.union(docs.limit(20)).withColumnRenamed("source", "numbers").repartition(4)  # some rows twice
+    got = {r[0]: tuple(r)[1:] for r in suffixes.op7_suffix_dedup(docs).collect()}
+    assert got == brute_removed(list(zip(ids, texts)))
+    assert sum(sent) < sum(len(t or "") for t in texts) / 16 / 2  # about one stretch every 16 bytes in all
+
+
 def test_repeated_rows_and_null_ids(make_docs, rng):
     text = prose(rng, 40)
     docs = make_docs([text, text, text, text], ids=[4, 4, None, 9])
