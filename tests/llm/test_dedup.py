@@ -4,6 +4,8 @@ import hashlib
 import re
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm.conftest import ODD, prose
 
@@ -221,6 +223,43 @@ def test_more_shared_anchors_than_bits(spark, make_docs, rng, monkeypatch, reque
     assert sum(sent) < sum(len(t or "") for t in texts) / 16 / 2  # about one stretch every 16 bytes in all
 
 
+def test_stretches_are_sent_once_however_many_anchors_are_shared(make_docs, rng, monkeypatch):
+    """Groups of a few stretches and parts of a few anchors; the texts are gone through once to ask and once to send."""
+    monkeypatch.setattr(suffixes, "MOST_BITS", 64)
+    monkeypatch.setattr(suffixes, "LEAST_BITS", 64)
+    monkeypatch.setattr(suffixes, "GROUP", 40, raising=False)
+    monkeypatch.setattr(suffixes, "PART_BYTES", 2_000, raising=False)
+    lines = [prose(rng, 40) for _ in range(6)]
+    texts = [f"{rng.choice(lines)} {prose(rng, 60)} {rng.choice(lines)[7:]}" for _ in range(40)]
+    texts += [" ".join([lines[0]] * 5), lines[1][:49], texts[3]]
+    sent, sort = [], suffixes._sorted_spans
+    monkeypatch.setattr(suffixes, "_sorted_spans", lambda df, out: sent.append(df.count()) or sort(df, out))
+    got = {r[0]: tuple(r)[1:] for r in suffixes.op7_suffix_dedup(make_docs(texts).repartition(3)).collect()}
+    assert got == brute_removed(list(enumerate(texts)))
+    assert len(sent) == 1
+
+
+def test_only_shared_anchors_are_answered_with_yes(spark, make_docs, rng):
+    lines = [prose(rng, 60) for _ in range(8)]
+    texts = [*lines, lines[0], lines[1][20:300], f"{lines[2]} {lines[2]}", f"{prose(rng, 90)} {prose(rng, 90)}"]
+    docs = make_docs(texts).selectExpr("doc_id", "crc32(text) crc", "text").repartition(5, "doc_id")
+    rows = suffixes._shared_anchors(docs, 20, 7).collect()
+    bits = {r.doc_id: [b >> (7 - i) & 1 for b in r.bits for i in range(8)] for r in rows}
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    anchors = [suffixes.stretches(d, np.array([0, len(d)]))[0] >> np.uint64(20) for d in data]
+    several = {h for h in {h for a in anchors for h in a.tolist()} if sum(h in a for a in anchors) > 1}
+    wanted = {i: [int(h in several) for h in a.tolist()] for i, a in enumerate(anchors)}
+    assert several and {i: b[: len(wanted[i])] for i, b in bits.items()} == {i: w for i, w in wanted.items() if any(w)}
+
+
+def test_a_lost_answer_counts_as_yes():
+    docs = pa.table({"doc_id": [5, 6], "crc": [1, 2], "n": [3, 2]})
+    which, sizes = np.array([0, 1, 2, 2, 3], "<i4"), np.array([2, 0, 2], "<i4")
+    rows = {"group": [9, 9], "part": [-1, 2], "body": [which.tobytes(), np.packbits([False, False]).tobytes()], "more": [suffixes._packed(docs), None], "sizes": [sizes.tobytes(), None]}
+    (found,) = suffixes._listed(iter([suffixes._answer(**rows)]), pa.int64())
+    assert found.column("doc_id").to_pylist() == [5] and found.column("bits").to_pylist() == [bytes([0b11000000])]
+
+
 def test_repeated_rows_and_null_ids(make_docs, rng):
     text = prose(rng, 40)
     docs = make_docs([text, text, text, text], ids=[4, 4, None, 9])
