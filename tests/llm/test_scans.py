@@ -135,6 +135,29 @@ def test_leaks(make_docs, spark, rng):
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in expected}
 
 
+def test_leaks_whose_parts_stand_in_another_order(make_docs, spark, rng):
+    """The window that holds all parts starts where no part of the item stands at its own place."""
+    items = [prose(rng, n) for n in (120, 100, 61)]
+    texts = [prose(rng, 400)]
+    for item in items:
+        words = item.split()
+        for cut in (20, len(words) // 2, len(words) - 30):
+            texts.append(f"{prose(rng, 70)} {' '.join(words[cut:] + words[:cut])} {prose(rng, 90)}")
+        texts.append(f"{prose(rng, 15)} {' '.join(words[:30] + words[32:])} {prose(rng, 15)}")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.op5_simhash_decontamination(make_docs(texts), bench).collect()}
+    expected = brute_leaks(texts, items)
+    assert len(expected) > 6 and set(got) == set(expected)
+    for (d, i), best in expected.items():
+        words, own = WORD.findall(texts[d]), WORD.findall(items[i])
+        target, like = collections.Counter(grams(own)), []
+        for a in range(len(words) - len(own) + 1):
+            window = collections.Counter(grams(words[a : a + len(own)]))
+            common = sum((window & target).values())
+            like.append(common / (sum(window.values()) + sum(target.values()) - common))
+        assert abs(got[d, i].similarity - best) < 1e-9 and got[d, i].start_word == like.index(max(like))
+
+
 def test_leaks_of_empty_tables_and_null_ids(make_docs, spark, rng):
     text = prose(rng, 30)
     docs = make_docs([text, text, text], ids=[None, 4, 4])
