@@ -1,6 +1,8 @@
 """BPE encoding (operator 1) and token counts (operator 4) against the tokenizers library."""
 
 import hashlib
+import time
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -95,6 +97,35 @@ def test_prefixes_and_budget_of_words_that_the_library_counts(make_docs, library
     assert prefixcounts.fit_budget(table, count(texts[2])) == len(texts[2])
 
 
+def test_exact_counts_inside_long_words_that_normalisation_changes(make_docs, library, rng):
+    pick = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    decomposed = unicodedata.normalize("NFD", "déjà-vu'llÅngström한국어がぎパ…'sñ'l")
+    kanji = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(150))
+    texts = [
+        "a b " + kanji + chr(0xF900) + " c d",
+        decomposed * 6,
+        "x" * 90 + unicodedata.normalize("NFD", "é" * 60) + "İ" * 50,
+        "<|endoftext|>" * 9 + "don't<|startoftext|><|endofte" + "e\u0301" * 20,
+        "." * 60 + "'s\u0301'l\u0301l'" + "\u0301" * 50 + "q\u0323\u0301\u0323" * 8 + "ΣΑΣ\u0301",
+        "".join(unicodedata.normalize("NFD", chr(rng.randint(0xAC00, 0xD7A3))) for _ in range(70)),
+        *(pick(["e\u0301", "'", "l", "s", "\u0301", "A", "İ", "1", ".", "か\u3099", "\u1112\u1161\u11AB", "\uF900", "\u00A0", "<|endoftext|>", "\u0323"], 60) for _ in range(25)),
+    ]
+    rows = {r.doc_id: r for r in prefixcounts.prefix_counts(make_docs(texts).select("doc_id", "text")).collect()}
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    for i, text in enumerate(texts):
+        table = np.concatenate([[0], np.cumsum(np.frombuffer(rows[i].steps, "<i4", len(text)))]).tolist()
+        assert table == [count(text[:k]) for k in range(len(text) + 1)]
+        assert prefixcounts.exact_table(rows[i].steps, len(text)).tolist() == table
+
+
+def test_long_words_that_normalisation_changes_take_no_square_time(counter):
+    words = [unicodedata.normalize("NFD", "é한が") * 10_000, "e" + "\u0301" * 20_000, "<|endoftext|>" * 20_000]
+    for word in words:
+        before = time.monotonic()
+        assert counter.word(word)[-1] == counter.whole(word)
+        assert time.monotonic() - before < 30
+
+
 def test_words_of_more_tokens_than_16_bits(make_docs, library, rng):
     kanji = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(30_000))
     texts = ["<|endoftext|>" * 40_000, kanji + chr(0xF900) + " a", "<|endoftext|>" * 40_000 + " a b"]
