@@ -7,6 +7,7 @@ import time
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from tests.llm.conftest import ODD, prose
 
 from tenure.llm import components, minhash, suffixes
@@ -223,8 +224,8 @@ def test_more_shared_anchors_than_bits(spark, make_docs, rng, monkeypatch, reque
     assert sum(sent) < sum(len(t or "") for t in texts) / 16 / 2  # about one stretch every 16 bytes in all
 
 
-def test_stretches_are_sent_once_however_many_anchors_are_shared(make_docs, rng, monkeypatch):
-    """Groups of a few stretches and parts of a few anchors; the texts are gone through once to ask and once to send."""
+def test_anchors_travel_packed_however_many_are_shared(make_docs, rng, monkeypatch):
+    """Groups of a few stretches and parts of a few anchors; no anchor is a row."""
     monkeypatch.setattr(suffixes, "MOST_BITS", 64)
     monkeypatch.setattr(suffixes, "LEAST_BITS", 64)
     monkeypatch.setattr(suffixes, "GROUP", 40, raising=False)
@@ -232,11 +233,13 @@ def test_stretches_are_sent_once_however_many_anchors_are_shared(make_docs, rng,
     lines = [prose(rng, 40) for _ in range(6)]
     texts = [f"{rng.choice(lines)} {prose(rng, 60)} {rng.choice(lines)[7:]}" for _ in range(40)]
     texts += [" ".join([lines[0]] * 5), lines[1][:49], texts[3]]
-    sent, sort = [], suffixes._sorted_spans
-    monkeypatch.setattr(suffixes, "_sorted_spans", lambda df, out: sent.append(df.count()) or sort(df, out))
+    asked, deal = [], DataFrame.repartitionById
+    monkeypatch.setattr(DataFrame, "repartitionById", lambda df, n, to: asked.append((df.count(), n)) or deal(df, n, to))
     got = {r[0]: tuple(r)[1:] for r in suffixes.op7_suffix_dedup(make_docs(texts).repartition(3)).collect()}
     assert got == brute_removed(list(enumerate(texts)))
-    assert len(sent) == 1
+    (rows, parts) = asked[0]
+    n_bytes = sum(len(t.encode()) for t in texts)
+    assert parts > 8 and rows <= (parts + 1) * (n_bytes / 16 / 40 + 3)  # about one stretch every 16 bytes; a group asks a part by one row
 
 
 def test_only_shared_anchors_are_answered_with_yes(spark, make_docs, rng):
